@@ -241,20 +241,18 @@ def _featured(df: DataFrame) -> DataFrame:
     return training_projection(df)
 
 
-def _check_split(frame: DataFrame, cutoff: date, max_categories: int) -> tuple[int, int]:
-    """Rows on either side of the cutoff and a bound on the categories, from one pass."""
-    day = F.col(DATE_COLUMN)
-    seen = frame.agg(
-        F.count_if(day < F.lit(cutoff)).alias("train_rows"),
-        F.count_if(day >= F.lit(cutoff)).alias("test_rows"),
-        *[F.approx_count_distinct(c).alias(c) for c in CATEGORICAL_FEATURES],
+def _check_rows(train: DataFrame, test: DataFrame, max_categories: int) -> tuple[int, int]:
+    """Number of training and test rows; fails if there are none or the categories are too many to one-hot."""
+    seen = train.agg(
+        F.count("*").alias("rows"), *[F.approx_count_distinct(c).alias(c) for c in CATEGORICAL_FEATURES]
     ).first()
-    if seen["train_rows"] == 0 or seen["test_rows"] == 0:
+    test_rows = test.count()
+    if seen["rows"] == 0 or test_rows == 0:
         raise ValueError("Training or test rows are missing. Choose another cutoff date.")
     wide = {c: seen[c] for c in CATEGORICAL_FEATURES if seen[c] > max_categories}
     if wide:
         raise ValueError(f"Too many categories to one-hot: {wide}; limit {max_categories}")
-    return seen["train_rows"], seen["test_rows"]
+    return seen["rows"], test_rows
 
 
 def _fit(candidate: Candidate, pre: PipelineModel, train: DataFrame, train_x: DataFrame,
@@ -302,15 +300,8 @@ def train_models(
     began = time.perf_counter()
     spark = df.sparkSession
     tries = candidates() if tries is None else list(tries)
-    frame = _featured(df)
-    train_rows, test_rows = _check_split(frame, cutoff, max_categories)
-    if purge:
-        train, _ = temporal_split(df, cutoff, purge=True)
-        train = _featured(train)
-        train_rows = train.count()
-    else:
-        train, _ = temporal_split(frame, cutoff)
-    test = temporal_split(frame, cutoff)[1]
+    train, test = (_featured(part) for part in temporal_split(df, cutoff, purge=purge))
+    train_rows, test_rows = _check_rows(train, test, max_categories)
 
     families = {c.name: c.family for c in tries}
     scores: list[dict] = []

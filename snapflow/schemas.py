@@ -85,6 +85,13 @@ PAGE_SCHEMA = T.StructType.fromDDL(
     " nextPageToken string"
 )
 
+# One published prediction.
+PREDICTION_SCHEMA = T.StructType.fromDDL(
+    "video_id string, title string, description string, country string, views double, view_count double,"
+    " likes double, comment_count double, predicted_trending_days double, prediction double,"
+    " prediction_time timestamp"
+)
+
 METRICS_SCHEMA = T.StructType.fromDDL("model_name string, rmse double, mae double, r2 double")
 
 MEAN_BASELINE = "mean_baseline"

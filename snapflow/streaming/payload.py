@@ -35,6 +35,6 @@ def valid_messages(parsed: DataFrame, id_col: str = "video_id") -> DataFrame:
     return parsed.filter(_identified(id_col)).drop(CORRUPT)
 
 
-def rejected_messages(parsed: DataFrame) -> DataFrame:
+def rejected_messages(parsed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Texts of messages that are not JSON of the schema, for a dead-letter table."""
-    return parsed.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    return parsed.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT, *keep)

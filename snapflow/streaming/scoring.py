@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Model
 from pyspark.sql import DataFrame
@@ -20,14 +20,16 @@ def stream_features(
     value_col: str = "value",
     event_time_col: str | None = None,
     country_names: Mapping[str, str] | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Valid messages with the features the model was trained on.
 
     The snapshot time is the micro-batch's, or the message's own if ``event_time_col`` is given.
-    ``country_names`` maps the feed's country codes to the names used in training.
+    ``country_names`` maps the feed's country codes to the names used in training; ``keep`` names
+    columns of the feed to carry along.
     """
-    keep = [] if event_time_col is None else [event_time_col]
-    rows = valid_messages(parse_messages(messages, value_col=value_col, keep=keep))
+    carried = list(dict.fromkeys([*keep, *([] if event_time_col is None else [event_time_col])]))
+    rows = valid_messages(parse_messages(messages, value_col=value_col, keep=carried))
     snapshot = F.current_timestamp() if event_time_col is None else F.col(event_time_col).cast("timestamp")
     added = {
         SNAPSHOT: snapshot,
