@@ -5,6 +5,7 @@ All of them give null for what they cannot read, whatever the session's ANSI set
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -14,9 +15,11 @@ from pyspark.sql import types as T
 # --- fixed values: accepted date spellings; the first that matches wins ---
 DATE_FORMATS: tuple[str, ...] = ("yyyy.MM.dd", "yyyy-MM-dd", "yy.dd.MM", "MM/dd/yyyy")
 
-# --- fixed values: publish-time spellings; the second also takes fractions and +07:00 offsets ---
-PUBLISH_FORMATS: tuple[str, ...] = ("yyyy-MM-dd'T'HH:mm:ssX", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]XXX")
+# --- fixed values: publish-time spellings, plain and with fractions of seconds or +07:00 offsets ---
+PUBLISH_FORMAT = "yyyy-MM-dd'T'HH:mm:ssX"
+DETAILED_PUBLISH_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]XXX"
 
+DIGITS = "0123456789"
 WHITESPACE = " \t\n\r\f\v"
 
 
@@ -36,16 +39,36 @@ def blank_to_null(value: Column) -> Column:
 
 
 def parse_date(value: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    return F.coalesce(*[F.try_to_date(value, fmt) for fmt in formats])
+    """Date in the first of ``formats`` that fits.
+
+    A failed parse costs an exception inside Spark, so a format is only tried on text of its own
+    shape: the text with every digit as 0 equals the pattern with every letter as 0.
+    """
+    shape = F.translate(value, DIGITS, "0" * len(DIGITS))
+    tries = [F.when(shape == re.sub("[a-zA-Z]", "0", fmt), F.try_to_date(value, fmt)) for fmt in formats]
+    return F.coalesce(*tries)
 
 
-def parse_publish_time(value: Column, formats: Sequence[str] = PUBLISH_FORMATS, lenient: bool = False) -> Column:
+def parse_publish_time(value: Column, lenient: bool = False) -> Column:
     """Timestamp of an ISO text; ``lenient`` also takes whatever Spark's own cast takes."""
     text = blank_to_null(value)
-    tries = [F.try_to_timestamp(text, F.lit(fmt)) for fmt in formats]
-    if lenient:
-        tries.append(text.try_cast("timestamp"))
-    return F.coalesce(*tries)
+    detailed = text.rlike(r"\.|[+-]\d\d:")
+    parsed = F.when(detailed, F.try_to_timestamp(text, F.lit(DETAILED_PUBLISH_FORMAT))).otherwise(
+        F.try_to_timestamp(text, F.lit(PUBLISH_FORMAT))
+    )
+    return F.coalesce(parsed, text.try_cast("timestamp")) if lenient else parsed
+
+
+def with_parsed_columns(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Like ``withColumns``, but a later filter on these columns stays above them.
+
+    Catalyst pushes a filter below a projection and repeats the column's expression there, so each
+    cell would be parsed twice.  It does not push one below a generator; the one-element array
+    makes exactly one row of each.
+    """
+    rest = [name for name in df.columns if name not in columns]
+    parsed = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return df.select(*rest, F.inline(F.array(parsed)))
 
 
 def as_timestamp(df: DataFrame, name: str) -> Column:

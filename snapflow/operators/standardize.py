@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ..functions.parse import clean_number, parse_date, parse_publish_time
+from ..functions.parse import clean_number, parse_date, parse_publish_time, with_parsed_columns
 from ..schemas import ALIASES, COUNT_COLUMNS, DATE_COLUMN, ITEM_KEYS, OPTIONAL_DEFAULTS, REQUIRED_COLUMNS
 
 SNAPSHOT_KEYS: tuple[str, ...] = (*ITEM_KEYS, DATE_COLUMN)
@@ -42,7 +42,8 @@ def rename_aliases(df: DataFrame) -> DataFrame:
 def type_columns(df: DataFrame) -> DataFrame:
     """Counts to double, publish time to timestamp, trending date to date; unreadable cells to null."""
     published, trending = df.schema["publish_date"].dataType, df.schema["trending_date"].dataType
-    return df.withColumns(
+    return with_parsed_columns(
+        df,
         {
             **{name: clean_number(df, name) for name in COUNT_COLUMNS},
             "publish_timestamp": parse_publish_time(F.col("publish_date"))
@@ -51,7 +52,7 @@ def type_columns(df: DataFrame) -> DataFrame:
             DATE_COLUMN: parse_date(F.col("trending_date"))
             if isinstance(trending, T.StringType)
             else F.col("trending_date").cast("date"),
-        }
+        },
     )
 
 

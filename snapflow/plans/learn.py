@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import importlib
 import logging
+import math
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -32,6 +33,7 @@ logger = logging.getLogger(__name__)
 RAW_PREDICTION = "raw_prediction"
 SEED = 42
 FOLDS = 3
+ROWS_PER_TASK = 250_000
 
 # --- fixed values: settings of the candidates ---
 LINEAR_SETTINGS = {"maxIter": 80, "regParam": 0.05}
@@ -255,6 +257,17 @@ def _check_rows(train: DataFrame, test: DataFrame, max_categories: int) -> tuple
     return seen["rows"], test_rows
 
 
+def _kept(prepared: DataFrame, rows: int) -> DataFrame:
+    """Features and labels, evenly spread over the cluster and kept for the passes of training.
+
+    However few or uneven the files of the table, every core gets a share, and no share is larger
+    than ``ROWS_PER_TASK``.
+    """
+    tasks = max(prepared.sparkSession.sparkContext.defaultParallelism, math.ceil(rows / ROWS_PER_TASK))
+    needed = prepared.select("features", LABEL_COLUMN, TARGET_COLUMN)
+    return needed.repartition(tasks).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def _fit(candidate: Candidate, pre: PipelineModel, train: DataFrame, train_x: DataFrame,
          parallelism: int, fold_local: bool) -> PipelineModel:
     if candidate.grid is None:
@@ -321,9 +334,8 @@ def train_models(
         scores.append({**done[name].asDict(), "model_family": families[name]})
 
     pre = preprocessing().fit(train)
-    needed = ["features", LABEL_COLUMN, TARGET_COLUMN]
-    train_x = pre.transform(train).select(*needed).persist(StorageLevel.MEMORY_AND_DISK)
-    test_x = pre.transform(test).select(*needed).persist(StorageLevel.MEMORY_AND_DISK)
+    train_x = _kept(pre.transform(train), train_rows)
+    test_x = _kept(pre.transform(test), test_rows)
     try:
         for candidate in (c for c in tries if c.name not in done):
             started = time.perf_counter()

@@ -70,28 +70,42 @@ SCORED_COLUMNS: tuple[str, ...] = (
     "predicted_trending_days",
 )
 
+def _fields(kind: T.DataType, *names: str) -> list[T.StructField]:
+    return [T.StructField(name, kind) for name in names]
+
+
 # One message of the live feed; every field may be missing.
 PAYLOAD_SCHEMA = T.StructType(
-    [T.StructField(name, T.StringType()) for name in ("video_id", "title", "description", "publish_time", "tags")]
-    + [T.StructField(name, T.DoubleType()) for name in ("views", "view_count", "likes", "comment_count")]
-    + [T.StructField(name, T.StringType()) for name in ("country", "categoryId")]
+    [
+        *_fields(T.StringType(), "video_id", "title", "description", "publish_time", "tags"),
+        *_fields(T.DoubleType(), "views", "view_count", "likes", "comment_count"),
+        *_fields(T.StringType(), "country", "categoryId"),
+    ]
 )
 
-# One landed page of a listing API.
-PAGE_SCHEMA = T.StructType.fromDDL(
-    "items array<struct<id: string,"
-    " snippet: struct<title: string, description: string, publishedAt: string, categoryId: string, tags: string>,"
-    " statistics: struct<viewCount: string, likeCount: string, commentCount: string>>>,"
-    " nextPageToken string"
+# One landed page of a listing API.  Tags stay text: they may be an array or something else.
+PAGE_ITEM = T.StructType(
+    [
+        T.StructField("id", T.StringType()),
+        T.StructField(
+            "snippet", T.StructType(_fields(T.StringType(), "title", "description", "publishedAt", "categoryId", "tags"))
+        ),
+        T.StructField("statistics", T.StructType(_fields(T.StringType(), "viewCount", "likeCount", "commentCount"))),
+    ]
 )
-
-# One published prediction.
-PREDICTION_SCHEMA = T.StructType.fromDDL(
-    "video_id string, title string, description string, country string, views double, view_count double,"
-    " likes double, comment_count double, predicted_trending_days double, prediction double,"
-    " prediction_time timestamp"
+PAGE_SCHEMA = T.StructType(
+    [T.StructField("items", T.ArrayType(PAGE_ITEM)), T.StructField("nextPageToken", T.StringType())]
 )
 
-METRICS_SCHEMA = T.StructType.fromDDL("model_name string, rmse double, mae double, r2 double")
+# One published prediction; older producers name the prediction and the views differently.
+PREDICTION_SCHEMA = T.StructType(
+    [
+        *_fields(T.StringType(), "video_id", "title", "description", "country"),
+        *_fields(T.DoubleType(), "views", "view_count", "likes", "comment_count"),
+        *_fields(T.DoubleType(), "predicted_trending_days", "prediction"),
+        *_fields(T.TimestampType(), "prediction_time"),
+    ]
+)
 
 MEAN_BASELINE = "mean_baseline"
+METRICS_SCHEMA = T.StructType([*_fields(T.StringType(), "model_name"), *_fields(T.DoubleType(), "rmse", "mae", "r2")])

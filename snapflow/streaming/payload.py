@@ -18,12 +18,13 @@ def parse_messages(
 ) -> DataFrame:
     """Fields of every message plus ``_corrupt_record``, which holds the text of unreadable ones.
 
-    ``keep`` names columns of the input to carry along, such as the broker's timestamp.
+    ``keep`` names columns of the input to carry along, such as the broker's timestamp.  The
+    fields come out of a generator, so filters on them do not parse the message a second time.
     """
     with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     text = F.col(value_col).cast("string")
     data = F.from_json(text, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return df.select(data.alias("data"), *keep).select("data.*", *keep)
+    return df.select(*keep, F.inline(F.array(data)))
 
 
 def _identified(id_col: str) -> Column:
