@@ -77,21 +77,21 @@ def histogram(df: DataFrame, metrics: Sequence[str] = METRICS, bins: int = 20) -
     counts on (metric, bin), at most ``len(metrics) * bins`` groups per task before the shuffle,
     and so is the table of all bins that the counts are joined to.
     """
+    # What is not a number has no bin and must not become a bound.
+    df = df.select(*[F.nanvl(F.col(m).cast("double"), F.lit(None).cast("double")).alias(m) for m in metrics])
     ends = {m: (f"_lo_{i}", f"_hi_{i}") for i, m in enumerate(metrics)}
     bounds = df.agg(
-        *[F.min(m).cast("double").alias(lo) for m, (lo, _) in ends.items()],
-        *[F.max(m).cast("double").alias(hi) for m, (_, hi) in ends.items()],
+        *[F.min(m).alias(lo) for m, (lo, _) in ends.items()],
+        *[F.max(m).alias(hi) for m, (_, hi) in ends.items()],
     )
     limits = bounds.select(F.struct("*").alias("limits")).scalar()
 
     def bin_of(m: str) -> Column:
         lo, hi = (limits.getField(name) for name in ends[m])
         spread = hi - lo
-        value = F.col(m).cast("double")
-        place = F.floor((value - lo) / spread * bins)
-        return F.when(spread > 0, F.least(place, F.lit(bins - 1).cast("long"))).when(
-            value.isNotNull(), F.lit(0).cast("long")
-        )
+        place = F.floor((F.col(m) - lo) / spread * bins)
+        last = F.lit(bins - 1).cast("long")
+        return F.when(F.col(m).isNotNull(), F.when(spread > 0, F.least(place, last)).otherwise(F.lit(0).cast("long")))
 
     placed = df.select(*[bin_of(m).alias(m) for m in metrics])
     counts = (
