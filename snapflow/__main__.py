@@ -9,12 +9,13 @@ from datetime import date
 
 from pyspark.sql import SparkSession
 
-from snapflow.operators import extraction_report, filter_regions
 from snapflow.operators.split import DEFAULT_CUTOFF
-from snapflow.plans import aggregate_metrics, candidates, clean_snapshots, promote_best, score_table, train_models
+from snapflow.plans import (
+    aggregate_metrics, candidates, clean_snapshots, extract_regions, promote_best, score_table, train_models,
+)
 from snapflow.plans.learn import DEFAULT_DEPTH, DEFAULT_TREES, MODES, optional_candidates
 from snapflow.sources import (
-    csv_to_parquet, load_model, read_episode_table, read_snapshot_csv, read_topic, save_model, write_csv,
+    csv_to_parquet, load_model, read_episode_table, read_snapshot_csv, read_topic, save_model,
     write_metrics, write_parquet, write_topic,
 )
 from snapflow.streaming import resolve_checkpoint_dir, score_stream
@@ -26,7 +27,7 @@ logger = logging.getLogger("snapflow")
 def clean(spark: SparkSession, args: argparse.Namespace) -> None:
     """Raw snapshots (CSV or parquet) -> episode table."""
     raw = spark.read.parquet(args.raw) if args.format == "parquet" else read_snapshot_csv(spark, args.raw)
-    logger.info("Wrote %s episodes to %s", clean_snapshots(raw, args.out, args.max_gap_days), args.out)
+    logger.info("Wrote %s episodes to %s", clean_snapshots(raw, args.out, args.max_gap_days, args.co_locate), args.out)
 
 
 def convert(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -36,9 +37,8 @@ def convert(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def extract(spark: SparkSession, args: argparse.Namespace) -> None:
     """Rows of the Asia-Pacific countries -> CSV, with a report."""
-    raw = read_snapshot_csv(spark, args.source)
-    write_csv(filter_regions(raw, column=args.column), args.target)
-    extraction_report(raw, column=args.column).show(truncate=False)
+    report = extract_regions(read_snapshot_csv(spark, args.source), args.target, column=args.column)
+    logger.info("Wrote %s: %s", args.target, report)
 
 
 def train(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -92,6 +92,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--out", required=True)
     p.add_argument("--format", choices=["csv", "parquet"], default="csv")
     p.add_argument("--max-gap-days", type=int, default=1)
+    p.add_argument("--co-locate", action="store_true", help="one exchange, for items with few snapshots per day")
 
     p = job(convert)
     p.add_argument("source")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.parse import normalize_country
@@ -48,14 +48,18 @@ def filter_regions(
     return df.filter(country.isin(*countries))
 
 
-def extraction_report(
-    df: DataFrame, countries: Sequence[str] = ASIA_PACIFIC, column: str | None = None
-) -> DataFrame:
-    """Rows scanned, rows kept and the sorted countries kept, in one pass; the set is at most ``countries``."""
+def report_columns(df: DataFrame, countries: Sequence[str], column: str | None) -> list[Column]:
     country = normalize_country(F.col(_country_column(df, column)))
     kept = F.coalesce(country.isin(*countries), F.lit(False))
-    return df.agg(
+    return [
         F.count("*").alias("scanned_rows"),
         F.count_if(kept).alias("kept_rows"),
         F.array_sort(F.collect_set(F.when(kept, country))).alias("kept_countries"),
-    )
+    ]
+
+
+def extraction_report(
+    df: DataFrame, countries: Sequence[str] = ASIA_PACIFIC, column: str | None = None
+) -> DataFrame:
+    """Rows scanned, rows kept and the sorted countries kept, in one pass; the set is at most ``countries``."""
+    return df.agg(*report_columns(df, countries, column))

@@ -82,6 +82,14 @@ def deduplicate(
     return ranked.filter(F.col("_rank") == 1).drop("_rank")
 
 
-def standardize(df: DataFrame, prefer: Sequence[Column] | None = None) -> DataFrame:
-    """Rename, type, reject rows that cannot be placed, keep one row per (item, country, day)."""
-    return deduplicate(identified(type_columns(rename_aliases(df))), prefer=prefer)
+def standardize(
+    df: DataFrame, prefer: Sequence[Column] | None = None, co_locate: bool = False
+) -> DataFrame:
+    """Rename, type, reject rows that cannot be placed, keep one row per (item, country, day).
+
+    ``co_locate`` brings all rows of an item together first, so that forming its episodes later
+    needs no exchange of its own.  Only use it where an item has few snapshots per day: nothing is
+    thinned before that exchange, and all rows of an item go to one task.
+    """
+    placed = identified(type_columns(rename_aliases(df)))
+    return deduplicate(placed.repartition(*ITEM_KEYS) if co_locate else placed, prefer=prefer)

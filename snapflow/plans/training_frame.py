@@ -18,15 +18,16 @@ logger = logging.getLogger(__name__)
 
 
 def build_training_frame(
-    raw: DataFrame, max_gap_days: int = 1, prefer: Sequence[Column] | None = None
+    raw: DataFrame, max_gap_days: int = 1, prefer: Sequence[Column] | None = None, co_locate: bool = False
 ) -> DataFrame:
     """The episode table of raw snapshot rows.
 
     Two exchanges: on (item, country, day) for the duplicates, which spreads even a single hot item
     over its days, and on (item, country) for the episodes, where an item has at most one row per
-    day.  No joins, no caching.
+    day.  No joins, no caching.  With ``co_locate`` it is one exchange and one sort, at the price
+    named in :func:`snapflow.operators.standardize.standardize`.
     """
-    snapshots = sane_counts(standardize(raw, prefer=prefer))
+    snapshots = sane_counts(standardize(raw, prefer, co_locate))
     episodes = collapse_episodes(snapshots, max_gap_days)
     featured = add_shared_features(episodes, snapshot_ts_col=DATE_COLUMN, views_cols=("view_count",))
     return featured.select(*EPISODE_TABLE).dropna(
@@ -34,7 +35,7 @@ def build_training_frame(
     )
 
 
-def clean_snapshots(raw: DataFrame, target: str, max_gap_days: int = 1) -> int:
+def clean_snapshots(raw: DataFrame, target: str, max_gap_days: int = 1, co_locate: bool = False) -> int:
     """Write the episode table of ``raw`` to ``target`` and return its number of rows.
 
     The table is computed once; its rows are counted from the footers of the files written.
@@ -43,7 +44,7 @@ def clean_snapshots(raw: DataFrame, target: str, max_gap_days: int = 1) -> int:
     if raw.isEmpty():
         logger.warning("No rows to clean")
         return 0
-    write_parquet(build_training_frame(raw, max_gap_days), target)
+    write_parquet(build_training_frame(raw, max_gap_days, co_locate=co_locate), target)
     rows = read_episode_table(raw.sparkSession, target).count()
     if rows == 0:
         logger.warning("No rows left after cleaning")

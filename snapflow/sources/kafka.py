@@ -26,9 +26,16 @@ def source_options(servers: str, topic: str, starting_offsets: str = "earliest")
     }
 
 
-def read_topic(spark: SparkSession, servers: str, topic: str, starting_offsets: str = "earliest") -> DataFrame:
-    """Stream of the topic's messages; the payload is in ``value``."""
-    return spark.readStream.format("kafka").options(**source_options(servers, topic, starting_offsets)).load()
+def read_topic(
+    spark: SparkSession, servers: str, topic: str, starting_offsets: str = "earliest", **options: str
+) -> DataFrame:
+    """Stream of the topic's messages; the payload is in ``value``.
+
+    ``options`` are passed on, such as ``maxOffsetsPerTrigger`` to bound a batch or
+    ``minPartitions`` to read a topic with more tasks than it has partitions.
+    """
+    reader = spark.readStream.format("kafka").options(**source_options(servers, topic, starting_offsets))
+    return reader.options(**options).load()
 
 
 def as_messages(df: DataFrame, key_col: str | None = None) -> DataFrame:

@@ -146,6 +146,17 @@ def test_result_does_not_depend_on_layout(spark):
         assert base.exceptAll(other).count() == other.exceptAll(base).count() == 0
 
 
+def test_co_located_items_need_one_exchange_and_one_sort(spark, tmp_path):
+    rows = [snapshot(d, views=str(100 + d % 3), item=f"v{d % 5}", title=f"t{d}") for d in range(1, 60)] * 2
+    path = str(tmp_path / "raw")
+    spark.createDataFrame(rows, SNAP).write.parquet(path)
+    df = spark.read.parquet(path)
+    near, far = build_training_frame(df, co_locate=True), build_training_frame(df)
+    assert near.exceptAll(far).count() == far.exceptAll(near).count() == 0
+    plan = executed(near)
+    assert plan.count("Exchange hashpartitioning") == plan.count("Sort [") == 1
+
+
 def test_clean_snapshots(spark, tmp_path):
     target = str(tmp_path / "clean")
     df = spark.createDataFrame([snapshot(1), snapshot(2), snapshot(9)], SNAP)

@@ -4,6 +4,7 @@ import pytest
 from plans import runs_python
 from pyspark.sql import functions as F
 from snapflow.operators.regions import ASIA_PACIFIC, extraction_report, filter_regions, find_country_column
+from snapflow.plans.extract import extract_regions
 from snapflow.sources.pages import cap_results, flatten_pages
 from snapflow.sources.tables import csv_to_parquet, read_episode_table, read_snapshot_csv, write_csv, write_parquet
 
@@ -43,6 +44,12 @@ def test_report(places):
     assert (row["scanned_rows"], row["kept_rows"], row["kept_countries"]) == (5, 2, ["JAPAN", "VIETNAM"])
 
 
+def test_extraction_writes_and_reports_in_one_scan(spark, places, tmp_path):
+    report = extract_regions(places, str(tmp_path / "out"))
+    assert report == {"scanned_rows": 5, "kept_rows": 2, "kept_countries": ["JAPAN", "VIETNAM"]}
+    assert sorted(r["id"] for r in read_snapshot_csv(spark, str(tmp_path / "out")).collect()) == ["1", "4"]
+
+
 def test_no_country_column(spark):
     with pytest.raises(ValueError, match="No country column"):
         filter_regions(spark.range(1))
