@@ -245,7 +245,7 @@ SELECT user_id, event_type, episode_id, trending_days, episode_start_date, episo
 FROM episodes""",
     "episode_join": EPISODES,
     "typed_snapshots": f"WITH {SNAP} SELECT {STANDARD} FROM typed",
-    "standardized": f"WITH {SNAP} SELECT {STANDARD} FROM standard",
+    "standardize": f"WITH {SNAP} SELECT {STANDARD} FROM standard",
     "sane_snapshots": f"WITH {SNAP} SELECT {STANDARD} FROM sane",
     "clean_counts": f"""WITH {SNAP}
 SELECT count(*) AS raw_rows,
@@ -333,7 +333,7 @@ SELECT event_id, video_id, console_views AS views, predicted_trending_days FROM
     "metric_points": f"""{PREDICTIONS}
 SELECT video_id, count(*) AS points, max(ts) AS last_seen, sum(views) AS views, sum(likes) AS likes,
   sum(comments) AS comments, max(predicted_trending_days) AS most_days FROM points GROUP BY video_id""",
-    "latest_feed": f"""{PREDICTIONS}
+    "latest_n": f"""{PREDICTIONS}
 SELECT event_id, video_id,
   CASE WHEN predicted_trending_days >= 7 THEN 'hot' WHEN predicted_trending_days >= 2 THEN 'medium' ELSE 'cold' END AS tier,
   round(predicted_trending_days, 1) AS days

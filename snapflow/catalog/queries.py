@@ -40,7 +40,8 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    """Register under the function's name; a trailing underscore only avoids a clash."""
+    QUERIES[fn.__name__.rstrip("_")] = fn
     return fn
 
 
@@ -120,7 +121,7 @@ def typed_snapshots(spark, sf_dir):
 
 
 @query
-def standardized(spark, sf_dir):
+def standardize_(spark, sf_dir):
     return _standardized(spark, sf_dir).select(*STANDARD_COLUMNS)
 
 
@@ -519,7 +520,7 @@ def metric_points(spark, sf_dir):
 
 
 @query
-def latest_feed(spark, sf_dir):
+def latest_n(spark, sf_dir):
     feed = rp.latest_feed(_predictions(spark, sf_dir), 10, "ts", ["event_id"])
     return feed.select("event_id", "video_id", "tier", "days")
 

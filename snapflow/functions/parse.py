@@ -19,7 +19,6 @@ DATE_FORMATS: tuple[str, ...] = ("yyyy.MM.dd", "yyyy-MM-dd", "yy.dd.MM", "MM/dd/
 PUBLISH_FORMAT = "yyyy-MM-dd'T'HH:mm:ssX"
 DETAILED_PUBLISH_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]XXX"
 
-DIGITS = "0123456789"
 WHITESPACE = " \t\n\r\f\v"
 
 
@@ -27,7 +26,7 @@ def clean_number(df: DataFrame, name: str) -> Column:
     """Double value of column ``name``; thousands separators are dropped from text."""
     if isinstance(df.schema[name].dataType, T.NumericType):
         return F.col(name).cast("double")
-    return F.regexp_replace(F.col(name).cast("string"), ",", "").try_cast("double")
+    return F.replace(F.col(name).cast("string"), F.lit(","), F.lit("")).try_cast("double")
 
 
 def text_or_default(value: Column, default: str = "") -> Column:
@@ -42,17 +41,21 @@ def parse_date(value: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """Date in the first of ``formats`` that fits.
 
     A failed parse costs an exception inside Spark, so a format is only tried on text of its own
-    shape: the text with every digit as 0 equals the pattern with every letter as 0.
+    length with its first separator in the right place.
     """
-    shape = F.translate(value, DIGITS, "0" * len(DIGITS))
-    tries = [F.when(shape == re.sub("[a-zA-Z]", "0", fmt), F.try_to_date(value, fmt)) for fmt in formats]
-    return F.coalesce(*tries)
+
+    def fits(fmt: str) -> Column:
+        place = re.search("[^a-zA-Z]", fmt).start()
+        return (F.length(value) == len(fmt)) & (F.substring(value, place + 1, 1) == fmt[place])
+
+    return F.coalesce(*[F.when(fits(fmt), F.try_to_date(value, fmt)) for fmt in formats])
 
 
 def parse_publish_time(value: Column, lenient: bool = False) -> Column:
     """Timestamp of an ISO text; ``lenient`` also takes whatever Spark's own cast takes."""
     text = blank_to_null(value)
-    detailed = text.rlike(r"\.|[+-]\d\d:")
+    # Date and time take 19 characters in both spellings; what follows tells them apart.
+    detailed = (F.substring(text, 20, 1) == ".") | (F.substring(text, 23, 1) == ":")
     parsed = F.when(detailed, F.try_to_timestamp(text, F.lit(DETAILED_PUBLISH_FORMAT))).otherwise(
         F.try_to_timestamp(text, F.lit(PUBLISH_FORMAT))
     )
