@@ -75,7 +75,7 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
     messages = read_topic(spark, args.kafka_servers, args.input_topic, args.starting_offsets)
     predictions = score_stream(messages, load_model(args.model_path))
     checkpoint = resolve_checkpoint_dir(spark, args.checkpoint_dir, args.checkpoint_policy)
-    write_topic(predictions, args.kafka_servers, args.output_topic, checkpoint, key_col="video_id").awaitTermination()
+    write_topic(predictions, args.kafka_servers, args.output_topic, checkpoint).awaitTermination()
 
 
 def parser() -> argparse.ArgumentParser:

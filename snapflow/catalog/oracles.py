@@ -303,6 +303,14 @@ size AS (SELECT count(*) AS labels FROM known)
 SELECT event_type, counts.n, CAST(coalesce(place, labels) AS DOUBLE) AS idx, CAST(labels + 1 AS INT) AS slots,
   CAST(coalesce(place, labels) AS BIGINT) AS slot
 FROM counts LEFT JOIN known USING (event_type) CROSS JOIN size""",
+    "score_rule": f"""{TRAINING}
+SELECT video_id, country, trending_date_parsed, views_normalized, log_views, log_likes, log_comment_count,
+  engagement_rate, like_ratio, comment_ratio,
+  round(exp(ln(1 + view_count) / 10 + like_ratio) - 1, 2) AS predicted_trending_days FROM training""",
+    "stream_score_rule": f"""{FEED}
+SELECT video_id, coalesce(title, '') AS title, coalesce(description, '') AS description, country,
+  views_normalized AS views, likes, comment_count,
+  round(exp(ln(1 + views_normalized) / 10 + like_ratio) - 1, 2) AS predicted_trending_days FROM featured""",
     "region_filter": f"""{PEOPLE} SELECT c_custkey, c_acctbal, r_name, "Trending_Country" FROM people
 WHERE country IN ({_KEPT})""",
     "region_semi_join": f"""{PEOPLE} SELECT c_custkey, c_acctbal, r_name, "Trending_Country" FROM people

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -384,6 +384,16 @@ def score_batch(spark, sf_dir):
     return score_table(load_model(path), episodes_table)
 
 
+def _rule() -> SQLTransformer:
+    """A stand-in for a fitted model whose predictions SQL can repeat."""
+    return SQLTransformer(statement="SELECT *, log_views / 10 + like_ratio AS raw_prediction FROM __THIS__")
+
+
+@query
+def score_rule(spark, sf_dir):
+    return rounded(score_table(_rule(), _training_frame(spark, sf_dir)), 6, "log_views", "log_likes", "log_comment_count")
+
+
 @query
 def importance_top15(spark, sf_dir):
     run = _trained(spark, sf_dir, learn.gradient_boosting(maxIter=10))
@@ -618,6 +628,12 @@ def stream_score(spark, sf_dir):
     return _landed(spark, score_stream(sent, run.best), "stream-score")
 
 
+@query
+def stream_score_rule(spark, sf_dir):
+    sent = inputs.messages(inputs.stream_of(spark, sf_dir, "events"))
+    return _landed(spark, score_stream(sent, _rule()).drop("prediction_time"), "stream-score-rule")
+
+
 @query
 def stream_report(spark, sf_dir):
     """Predictions arrive, are appended to a table, and the table is summed up."""
