@@ -154,12 +154,12 @@ def preprocessing(
 ) -> Pipeline:
     """Index and one-hot the categories, most frequent first, and assemble all features.
 
-    Values not seen in training, and nulls, get a slot of their own.
+    All categories are counted in one pass.  Values not seen in training, and nulls, get a slot of their own.
     """
     indexed, encoded = [f"{c}_idx" for c in categorical], [f"{c}_vec" for c in categorical]
     return Pipeline(
         stages=[
-            *[StringIndexer(inputCol=c, outputCol=i, handleInvalid="keep") for c, i in zip(categorical, indexed)],
+            StringIndexer(inputCols=[*categorical], outputCols=indexed, handleInvalid="keep"),
             OneHotEncoder(inputCols=indexed, outputCols=encoded, handleInvalid="keep"),
             VectorAssembler(inputCols=[*numeric, *encoded], outputCol="features", handleInvalid="keep"),
         ]

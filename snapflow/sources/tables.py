@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 def read_snapshot_csv(
     spark: SparkSession, path: str | list[str], columns: Sequence[str] | None = None, multi_line: bool = True
 ) -> DataFrame:
-    """Raw snapshots: header row, every cell a string, quotes doubled inside quotes.
+    """Raw snapshots: header row, every cell a string or null if empty, quotes doubled inside quotes.
 
     ``columns`` names the columns up front and saves the look at the header.  ``multi_line`` reads
     quoted line breaks but makes each file one task: convert such files once with
@@ -26,7 +26,7 @@ def read_snapshot_csv(
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV that :func:`read_snapshot_csv` reads back unchanged."""
+    """CSV that :func:`read_snapshot_csv` reads back unchanged, but that empty texts become null."""
     (
         df.write.mode("overwrite")
         .options(

@@ -47,7 +47,7 @@ class Broken(Estimator):
         raise RuntimeError("out of luck")
 
 
-def test_modes():
+def test_modes(spark):
     names = lambda *a, **k: [c.name for c in learn.candidates(*a, **k)]
     assert names() == ["linear_regression", "gradient_boosting", "random_forest_tuned"]
     assert names(tune=False)[-1] == "random_forest"
@@ -67,7 +67,7 @@ def test_forest_grid(spark):
     assert len(learn.random_forest_tuned().grid) == 36
 
 
-def test_optional_candidates_are_those_installed():
+def test_optional_candidates_are_those_installed(spark):
     assert all(c.family == "optional" for c in learn.optional_candidates())
 
 

@@ -96,7 +96,7 @@ def test_cap(spark, asked, given):
     assert cap_results(rows, asked).count() == given
 
 
-TRICKY = [("1", 'say "hi"'), ("2", "two\nlines"), ("3", " spaced "), ("4", "a,b\\"), ("5", None)]
+TRICKY = [("1", 'say "hi"'), ("2", "two\nlines"), ("3", " spaced "), ("4", "a,b\\"), ("5", None), ("7", "a\r\nb\rc")]
 
 
 def test_csv_round_trip(spark, tmp_path):
@@ -108,6 +108,11 @@ def test_csv_round_trip(spark, tmp_path):
         assert {t for _, t in back.dtypes} == {"string"}
 
 
+def test_an_empty_cell_is_null(spark, tmp_path):
+    write_csv(spark.createDataFrame([("1", "")], "id string, text string"), str(tmp_path / "csv"))
+    assert tuple(read_snapshot_csv(spark, str(tmp_path / "csv")).first()) == ("1", None)
+
+
 def test_csv_to_parquet(spark, tmp_path):
     write_csv(spark.createDataFrame(TRICKY, "id string, text string"), str(tmp_path / "csv"))
     for _ in range(2):
