@@ -363,5 +363,6 @@ SELECT event_id,
     "stream_features": f"""{FEED}
 SELECT event_id, video_id, country, categoryId, hours_to_trending, {NUMERIC} FROM featured""",
     "stream_dedup": "SELECT DISTINCT user_id, event_type FROM events",
+    "stream_dedup_bounded": "SELECT DISTINCT user_id, event_type FROM events",
     "stream_report": f"{PREDICTIONS} {summary('points', ('views', 'likes', 'comments', 'predicted_trending_days'))}",
 }

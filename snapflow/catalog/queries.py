@@ -503,7 +503,8 @@ def histogram20(spark, sf_dir):
 
 @query
 def engagement_norm(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", *LINE_METRICS[:3])
+    keys = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+    lines = table(spark, sf_dir, "lineitem").select(*keys, *LINE_METRICS[:3])
     return rp.engagement_percent(lines, LINE_METRICS[:3])
 
 
@@ -579,7 +580,9 @@ def parquet_roundtrip(spark, sf_dir):
     write_csv(table(spark, sf_dir, "documents"), f"{path}/in")
     csv_to_parquet(spark, f"{path}/in", f"{path}/out")
     back = spark.read.parquet(f"{path}/out")
-    return back.select("doc_id", "lang", "source", F.length("text").cast("bigint").alias("characters"), F.md5("text").alias("digest"))
+    return back.select(
+        "doc_id", "lang", "source", F.length("text").cast("bigint").alias("characters"), F.md5("text").alias("digest")
+    )
 
 
 # ---------------------------------------------------------------- streaming
@@ -611,14 +614,27 @@ def stream_features(spark, sf_dir):
     return rounded(_landed(spark, rows.select(*STREAM_FEATURES), "stream-features"), 6, *logs)
 
 
-@query
-def stream_dedup(spark, sf_dir):
-    # A stateful stream keeps the number of partitions it starts with; size it to the cluster.
+def _sized_session(spark: SparkSession) -> SparkSession:
+    """A stateful stream keeps the number of partitions it starts with; size it to the cluster."""
     session = spark.newSession()
     session.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
-    events = inputs.stream_of(session, sf_dir, "events").select("user_id", "event_type")
-    rows = drop_repeats(events, ["user_id", "event_type"])
-    return _landed(session, rows, "stream-dedup")
+    return session
+
+
+@query
+def stream_dedup(spark, sf_dir):
+    session = _sized_session(spark)
+    events = inputs.stream_of(session, sf_dir, "events").select(*EVENT_KEYS)
+    return _landed(session, drop_repeats(events, EVENT_KEYS), "stream-dedup")
+
+
+@query
+def stream_dedup_bounded(spark, sf_dir):
+    """As above, but an id is forgotten 40 days after it was seen."""
+    session = _sized_session(spark)
+    events = inputs.stream_of(session, sf_dir, "events").select(*EVENT_KEYS, F.col("ts").cast("timestamp").alias("ts"))
+    rows = drop_repeats(events, EVENT_KEYS, event_time_col="ts", delay="40 days")
+    return _landed(session, rows.select(*EVENT_KEYS), "stream-dedup-bounded")
 
 
 @query

@@ -5,7 +5,6 @@ import statistics
 import pytest
 from plans import executed
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.sql import functions as F
 from snapflow.operators import evaluate as ev
 from snapflow.operators import report as rp
 from snapflow.operators.split import temporal_split, training_projection
