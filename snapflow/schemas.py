@@ -74,7 +74,7 @@ def _fields(kind: T.DataType, *names: str) -> list[T.StructField]:
     return [T.StructField(name, kind) for name in names]
 
 
-# One message of the live feed; every field may be missing.
+# --- fixed values: fields of one message of the live feed; every field may be missing ---
 PAYLOAD_SCHEMA = T.StructType(
     [
         *_fields(T.StringType(), "video_id", "title", "description", "publish_time", "tags"),
@@ -83,7 +83,8 @@ PAYLOAD_SCHEMA = T.StructType(
     ]
 )
 
-# One landed page of a listing API.  Tags stay text: they may be an array or something else.
+# --- fixed values: fields of one landed page of a listing API ---
+# Tags stay text: they may be an array or something else.
 PAGE_ITEM = T.StructType(
     [
         T.StructField("id", T.StringType()),
@@ -97,7 +98,8 @@ PAGE_SCHEMA = T.StructType(
     [T.StructField("items", T.ArrayType(PAGE_ITEM)), T.StructField("nextPageToken", T.StringType())]
 )
 
-# One published prediction; older producers name the prediction and the views differently.
+# --- fixed values: fields of one published prediction ---
+# Older producers name the prediction and the views differently.
 PREDICTION_SCHEMA = T.StructType(
     [
         *_fields(T.StringType(), "video_id", "title", "description", "country"),
