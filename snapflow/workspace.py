@@ -1,8 +1,7 @@
-"""Where intermediate tables and checkpoints go."""
+"""Where intermediate tables and checkpoints go: the folder that every executor can reach."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -10,18 +9,20 @@ from pyspark.sql import SparkSession
 SHARED_DIR_SETTING = "spark.checkpoint.dir"
 
 
+def _named_dir(spark: SparkSession) -> str | None:
+    return spark.conf.get(SHARED_DIR_SETTING, None) or spark.sparkContext.getCheckpointDir()
+
+
+def has_shared_dir(spark: SparkSession) -> bool:
+    return _named_dir(spark) is not None
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by the cluster.
-
-    Without the setting a temporary folder is used, but only where driver and executors are one
-    process.
-    """
-    configured = spark.conf.get(SHARED_DIR_SETTING, None)
-    if configured:
-        return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="snapflow-")
-    raise ValueError(f"Set {SHARED_DIR_SETTING} to a folder that all executors share")
+    """The folder that the cluster names in spark.checkpoint.dir, else the session's checkpoint folder."""
+    named = _named_dir(spark)
+    if named is None:
+        raise ValueError(f"Set {SHARED_DIR_SETTING} to a folder that all executors share")
+    return named.rstrip("/")
 
 
 def new_run_dir(spark: SparkSession, name: str) -> str:
