@@ -160,11 +160,11 @@ def repeated(keys: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return out[0], out[1]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about SLICE_BYTES of text, so that memory does not follow the batch size."""
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about so many bytes of text, so that memory does not follow the batch size."""
     for batch in batches:
         length = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-        block = (np.cumsum(length) - length) // SLICE_BYTES
+        block = (np.cumsum(length) - length) // size
         cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:]):
             if b > a:

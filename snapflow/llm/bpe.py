@@ -36,7 +36,8 @@ WHITE_SPACE = (
     *range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
 )
 
-CACHE_PIECES = 300_000
+CACHE_PIECES = 150_000
+ENCODE_BYTES = 1 << 20  # of text at once: pieces are Python objects
 CACHED_BYTES = 64  # longer pieces are merged anew each time
 HEAP_BYTES = 48  # longer pieces are merged with a heap
 
@@ -265,7 +266,7 @@ def encode(df: DataFrame, vocabulary_path: str, text_col: str = "text", prefix:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(vocabulary_path)
-        for part in slices(batches, "__text"):
+        for part in slices(batches, "__text", ENCODE_BYTES):
             texts = [t or "" for t in part.column("__text").to_pylist()]
             ids = words.encode(texts)
             ends = [np.cumsum(words.lengths[np.frombuffer(x, "<u4")]).astype("<u4").tobytes() for x in ids]
@@ -289,7 +290,7 @@ def decode(df: DataFrame, vocabulary_path: str, ids_col: str = "ids", out_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(vocabulary_path)
-        for part in slices(batches, ids_col):
+        for part in slices(batches, ids_col, ENCODE_BYTES):
             raw = [words.decode(x or b"") for x in part.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(raw, pa.binary())], [*kept, out_col])
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, mixing, quality_gam, quality_rules, token_counts, url_filter
+from . import bpe, chat, mixing, quality_gam, quality_rules, substring_dedup, token_counts, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -93,6 +93,12 @@ def op4_chat_format(spark, sf_dir):
     return chat.format_conversations(table(spark, sf_dir, "conversations"))
 
 
+@query
+def op5_substring_dedup(spark, sf_dir):
+    cleaned = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op6_byte_bpe(spark, sf_dir):
     coded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), VOCABULARY).drop("text")
