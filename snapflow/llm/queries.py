@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, mixing, quality_gam, quality_rules, substring_dedup, token_counts, url_filter
+from . import bpe, chat, jaccard_join, mixing, quality_gam, quality_rules, substring_dedup, token_counts, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -116,6 +116,11 @@ def op8_quality_rules(spark, sf_dir):
     )
 
 
+@query
+def op9_jaccard_join(spark, sf_dir):
+    return jaccard_join.similar_components(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_quality_gam(spark, sf_dir):
     scored = quality_gam.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -9,7 +9,7 @@ occurrence of the window has the symbol at the same place.
 
 A window is represented by the longest such symbol inside it.  A window can only repeat if its symbol
 occurs in a second document: shared_names() finds these symbols, and only windows that stand behind them
-are verified, by 128-bit hashes of their words and the smallest document that has them.
+are verified, by 96-bit hashes of their words and the smallest document that has them.
 """
 
 from __future__ import annotations
@@ -125,7 +125,7 @@ class _Windows:
             at, found = window_hashes(words, b.first_word, b.word_text, self.width, seed)
             place[at] = np.arange(len(at))
             hashes.append(found[place[self.at]])
-        self.hashes = hashes
+        self.hashes = [hashes[0], (hashes[1] >> U64(32)).astype(np.uint32)]
 
 
 def _distinct(h1: np.ndarray, h2: np.ndarray, doc: np.ndarray):
@@ -147,11 +147,11 @@ VERIFY_TEXT = "g bigint, bucket bigint, h1 binary, h2 binary, docs binary"
 
 def _arrays(rows: pa.Table) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     columns = (rows.column(c).to_pylist() for c in ("h1", "h2", "docs"))
-    return [(np.frombuffer(a, U64), np.frombuffer(b, U64), np.frombuffer(d, np.int64)) for a, b, d in zip(*columns)]
+    return [(np.frombuffer(a, U64), np.frombuffer(b, np.uint32), np.frombuffer(d, np.int64)) for a, b, d in zip(*columns)]
 
 
 def _join(parts):
-    return [np.concatenate(x) for x in zip(*parts)] if parts else [np.zeros(0, U64), np.zeros(0, U64), np.zeros(0, np.int64)]
+    return [np.concatenate(x) for x in zip(*parts)] if parts else [np.zeros(0, U64), np.zeros(0, np.uint32), np.zeros(0, np.int64)]
 
 
 def remove_repeats(
