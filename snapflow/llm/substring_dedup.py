@@ -157,7 +157,7 @@ def _join(parts):
 def remove_repeats(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, carry: tuple[str, ...] = ()
 ) -> DataFrame:
-    """id, n_words, n_removed, kept (the remaining words joined by one space), text (unchanged) and the carried columns.
+    """id, n_words, n_removed, kept (the remaining words joined by one space), text (unchanged) and, if columns are carried, a struct ``rest`` of them.
 
     A word goes if a window of so many words of its document covers it and the same words also stand in a
     document with a smaller id.  Windows are those of the input, not of what is left, and never cross documents.  Ids are
@@ -237,7 +237,7 @@ def remove_repeats(
     done = source.groupBy("g").cogroup(both.groupBy("g")).applyInArrow(
         finish, "id bigint, n_words bigint, n_removed bigint, kept string, text string" + rest
     )
-    return done.select(F.col("id").alias(id_col), "n_words", "n_removed", "kept", "text", *(["rest.*"] if carry else []))
+    return done.select(F.col("id").alias(id_col), "n_words", "n_removed", "kept", "text", *(["rest"] if carry else []))
 
 
 def _joined_words(batch: TextBatch, keep: np.ndarray) -> pa.Array:
