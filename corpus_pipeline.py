@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapflow.llm import bpe, jaccard_join, mixing, quality_rules, substring_dedup
-from snapflow.llm.tables import written
+from snapflow.llm.tables import without, written
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 SEED = 17
@@ -26,8 +26,7 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Of documents linked by a similarity of 0.8 or more the one with the smallest id.  Rows with a null id stay; of
     rows that share an id all stay or go."""
     found = jaccard_join.similar_components(docs)
-    spare = found.where(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(spare, "doc_id", "left_anti").select(docs.columns)
+    return without(docs, found.where(F.col("component_id") < F.col("doc_id")), ["doc_id"], "spare_copies")
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import lookup, written
+from .tables import lookup, without, written
 from .text_stats import with_counts
 
 
@@ -153,9 +153,13 @@ def judge(
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The rows of docs that are kept, all columns unchanged; each row is carried along in one column, so rows that
-    share an id are kept or not each by its own text, and names that clash with the counts' do no harm.
+    """The rows of docs that are kept, all columns unchanged.
+
+    Rejected rows are found again by id and a hash of the text and the stratum, so rows that share an id are kept or
+    not each by its own text.
     """
-    needed = (options.get("id_col", "doc_id"), options.get("text_col", "text"), options.get("stratum", "lang"))
-    carried = docs.select(*needed, F.struct(*docs.columns).alias("__row"))
-    return judge(carried, labels, **options, also=("__row",)).where("kept").select("__row.*")
+    id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
+    stratum = options.get("stratum", "lang")
+    tagged = docs.withColumn("__key", F.xxhash64(F.col(text_col), F.col(stratum)))
+    rejected = judge(tagged.select(id_col, text_col, stratum, "__key"), labels, **options, also=("__key",)).where("NOT kept")
+    return without(tagged, rejected, [id_col, "__key"], "rejected").select(docs.columns)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..workspace import new_run_dir
 
 BROADCAST_ROWS = 10_000
+SMALL_IDS = 500_000
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -25,3 +26,15 @@ def lookup(df: DataFrame, name: str, max_rows: int = BROADCAST_ROWS) -> DataFram
 
 def schema_text(df: DataFrame, columns) -> str:
     return ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns)
+
+
+def without(df: DataFrame, ids: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """The rows of df whose keys (null equals null) are not among the ids, which have the same columns.
+
+    Up to SMALL_IDS ids, which are counted, are broadcast, so that whole rows are not shuffled; more are joined by shuffle.
+    """
+    listed = lookup(ids.select(*[F.col(k).alias(f"__{i}") for i, k in enumerate(keys)]).distinct(), name, SMALL_IDS)
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & df[k].eqNullSafe(listed[f"__{i}"])
+    return df.join(listed, same, "left_anti")
