@@ -13,7 +13,7 @@ from snapflow.operators.split import DEFAULT_CUTOFF
 from snapflow.plans import (
     aggregate_metrics, candidates, clean_snapshots, extract_regions, promote_best, score_table, train_models,
 )
-from snapflow.plans.learn import DEFAULT_DEPTH, DEFAULT_TREES, MODES, optional_candidates
+from snapflow.plans.learn import DEFAULT_DEPTH, DEFAULT_TREES, MODES
 from snapflow.sources import (
     csv_to_parquet, load_model, read_episode_table, read_snapshot_csv, read_topic, save_model,
     write_metrics, write_parquet, write_topic,
@@ -44,8 +44,6 @@ def extract(spark: SparkSession, args: argparse.Namespace) -> None:
 def train(spark: SparkSession, args: argparse.Namespace) -> None:
     """Episode table -> models, their scores and a summary."""
     tries = candidates(args.model, args.num_trees, args.max_depth, tune=not args.no_tune)
-    if args.optional:
-        tries += optional_candidates()
     run = train_models(
         read_episode_table(spark, args.data), tries, args.cutoff, args.purge, args.model_dir, args.resume
     )
@@ -110,7 +108,6 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--num-trees", type=int, default=DEFAULT_TREES)
     p.add_argument("--max-depth", type=int, default=DEFAULT_DEPTH)
     p.add_argument("--no-tune", action="store_true")
-    p.add_argument("--optional", action="store_true", help="also try other installed boosting packages")
     p.add_argument("--cutoff", type=date.fromisoformat, default=DEFAULT_CUTOFF)
     p.add_argument("--purge", action="store_true", help="drop training episodes that run past the cutoff")
     p.add_argument("--resume", action="store_true", help="skip models that have scores already")

@@ -159,8 +159,8 @@ MODELS = f"""{SPLIT},
 guesses AS (
   SELECT 'mean_baseline' AS model_name, trending_days, prediction FROM baseline
   UNION ALL SELECT 'one_day', trending_days, 1.0 FROM test
-  UNION ALL SELECT 'type_mean', trending_days, type_mean
-    FROM test JOIN (SELECT event_type, avg(trending_days) AS type_mean FROM train GROUP BY event_type) USING (event_type)),
+  UNION ALL SELECT 'type_mean', trending_days, coalesce(type_mean, (SELECT avg(trending_days) FROM train))
+    FROM test LEFT JOIN (SELECT event_type, avg(trending_days) AS type_mean FROM train GROUP BY event_type) USING (event_type)),
 raw_scores AS (SELECT model_name, {METRICS} FROM guesses GROUP BY model_name),
 scores AS (SELECT model_name, round(rmse, 6) AS rmse, round(mae, 6) AS mae, round(r2, 6) AS r2 FROM raw_scores)"""
 
@@ -319,7 +319,7 @@ WHERE country IN (SELECT country FROM people WHERE c_acctbal > 9900)""",
   string_agg(DISTINCT country, ',' ORDER BY country) FILTER (country IN ({_KEPT})) AS kept_countries FROM people""",
     "api_flatten": f"{API} SELECT {API_COLUMNS} FROM items",
     "api_category": f"{API} SELECT {API_COLUMNS} FROM items WHERE categoryId = '3'",
-    "api_capped": f"""{API}, capped AS (SELECT * FROM items ORDER BY conv_id, turn, place LIMIT 200)
+    "api_capped": f"""{API}, capped AS (SELECT * FROM items ORDER BY conv_id, turn, place LIMIT 500)
 SELECT {API_COLUMNS} FROM capped""",
     "events_props_json": """SELECT event_id, CAST(regexp_extract(props, '"k": (-?[0-9]+)', 1) AS INT) AS k FROM events""",
     "to_json_roundtrip": "SELECT event_id, user_id, event_type, value, props FROM events",

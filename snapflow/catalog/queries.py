@@ -250,8 +250,9 @@ def _model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _model_inputs(spark, sf_dir)
     per_type = train.groupBy("event_type").agg(F.avg(LABEL_COLUMN).alias("type_mean"))
     guesses = ev.constant_baseline(train, test).withColumnRenamed("prediction", ev.MEAN_BASELINE)
-    guesses = guesses.join(per_type, "event_type").select(
-        LABEL_COLUMN, ev.MEAN_BASELINE, F.col("type_mean"), F.lit(1.0).alias("one_day")
+    # a type that training has not seen gets the overall mean
+    guesses = guesses.join(per_type, "event_type", "left").select(
+        LABEL_COLUMN, ev.MEAN_BASELINE, F.coalesce("type_mean", ev.MEAN_BASELINE).alias("type_mean"), F.lit(1.0).alias("one_day")
     )
     long = guesses.unpivot([LABEL_COLUMN], [ev.MEAN_BASELINE, "type_mean", "one_day"], "model_name", "prediction")
     return ev.regression_metrics(long, by=["model_name"])
@@ -430,19 +431,19 @@ API_COLUMNS = (
 
 @query
 def api_flatten(spark, sf_dir):
-    return flatten_pages(inputs.api_pages(spark, sf_dir), page_order=["conv_id", "turn"]).select(*API_COLUMNS)
+    return flatten_pages(inputs.api_pages(spark, sf_dir), fetch_keys=["region_code"], page_order=["conv_id", "turn"]).select(*API_COLUMNS)
 
 
 @query
 def api_category(spark, sf_dir):
     pages = inputs.api_pages(spark, sf_dir)
-    rows = flatten_pages(pages, page_order=["conv_id", "turn"], region="VN", category_id="3")
+    rows = flatten_pages(pages, fetch_keys=["region_code"], page_order=["conv_id", "turn"], region="VN", category_id="3")
     return rows.select(*API_COLUMNS)
 
 
 @query
 def api_capped(spark, sf_dir):
-    rows = flatten_pages(inputs.api_pages(spark, sf_dir), page_order=["conv_id", "turn"])
+    rows = flatten_pages(inputs.api_pages(spark, sf_dir), fetch_keys=["region_code"], page_order=["conv_id", "turn"])
     return cap_results(rows, 500, ["conv_id", "turn", "place"]).select(*API_COLUMNS)
 
 

@@ -19,14 +19,18 @@ DATE_FORMATS: tuple[str, ...] = ("yyyy.MM.dd", "yyyy-MM-dd", "yy.dd.MM", "MM/dd/
 PUBLISH_FORMAT = "yyyy-MM-dd'T'HH:mm:ssX"
 DETAILED_PUBLISH_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]XXX"
 
+PLAIN_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 WHITESPACE = " \t\n\r\f\v"
 
 
 def clean_number(df: DataFrame, name: str) -> Column:
-    """Double value of column ``name``; thousands separators are dropped from text."""
+    """Double value of column ``name``; thousands separators are dropped from text.  What is not a finite plain number is null."""
     if isinstance(df.schema[name].dataType, T.NumericType):
-        return F.col(name).cast("double")
-    return F.replace(F.col(name).cast("string"), F.lit(","), F.lit("")).try_cast("double")
+        number = F.col(name).cast("double")
+    else:
+        digits = F.trim(F.replace(F.col(name).cast("string"), F.lit(","), F.lit("")))
+        number = F.when(digits.rlike(PLAIN_NUMBER), digits).try_cast("double")
+    return F.when(F.abs(number) < float("inf"), number)
 
 
 def text_or_default(value: Column, default: str = "") -> Column:

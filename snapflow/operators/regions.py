@@ -43,7 +43,7 @@ def filter_regions(
     """
     country = normalize_country(F.col(_country_column(df, column)))
     if isinstance(countries, DataFrame):
-        names = countries.toDF("_country")
+        names = countries.toDF("_country").distinct()
         return df.join(names, country == names["_country"], "left_semi")
     return df.filter(country.isin(*countries))
 

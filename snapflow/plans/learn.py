@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import importlib
 import logging
 import math
 import time
@@ -42,10 +41,6 @@ DEFAULT_TREES = 100
 DEFAULT_DEPTH = 12
 FOREST_GRID = {"tree_step": 20, "min_trees": 20, "depth_step": 2, "min_depth": 4,
                "min_instances": [1, 2], "max_bins": [32, 64]}
-XGBOOST_SETTINGS = {"n_estimators": 300, "max_depth": 6, "learning_rate": 0.05, "subsample": 0.9,
-                    "colsample_bytree": 0.9, "objective": "reg:squarederror", "random_state": SEED}
-LIGHTGBM_SETTINGS = {"numIterations": 300, "maxDepth": -1, "learningRate": 0.05, "baggingFraction": 0.9,
-                     "featureFraction": 0.9, "seed": SEED}
 
 MODES = ("all", "fast", "ultra_fast", "linear_regression", "gradient_boosting", "random_forest", "random_forest_tuned")
 
@@ -126,29 +121,6 @@ def candidates(
     raise ValueError(f"Unknown training mode {mode!r}; choose one of {MODES}")
 
 
-def optional_candidates() -> list[Candidate]:
-    """Distributed gradient boosting by other packages, for those that are installed."""
-    found = []
-    try:
-        regressor = importlib.import_module("xgboost.spark").SparkXGBRegressor
-        found.append(
-            Candidate(
-                "xgboost",
-                regressor(features_col="features", label_col=TARGET_COLUMN, prediction_col=RAW_PREDICTION,
-                          **XGBOOST_SETTINGS),
-                family="optional",
-            )
-        )
-    except ImportError:
-        pass
-    try:
-        regressor = importlib.import_module("synapse.ml.lightgbm").LightGBMRegressor
-        found.append(Candidate("lightgbm", regressor(**_columns(), **LIGHTGBM_SETTINGS), family="optional"))
-    except ImportError:
-        pass
-    return found
-
-
 def preprocessing(
     numeric: Sequence[str] = NUMERIC_FEATURES, categorical: Sequence[str] = CATEGORICAL_FEATURES
 ) -> Pipeline:

@@ -15,14 +15,16 @@ PRODUCER_OPTIONS = {
 }
 
 
-def source_options(servers: str, topic: str, starting_offsets: str = "earliest") -> dict[str, str]:
+def source_options(
+    servers: str, topic: str, starting_offsets: str = "earliest", fail_on_data_loss: bool = True
+) -> dict[str, str]:
     if starting_offsets not in ("earliest", "latest"):
         raise ValueError(f"starting_offsets must be earliest or latest, not {starting_offsets!r}")
     return {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting_offsets,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
 
 

@@ -12,17 +12,14 @@ from ..functions.parse import text_or_default
 from ..operators.standardize import deduplicate
 from ..schemas import PAGE_SCHEMA
 
-# --- fixed values: how many results a request may return ---
-DEFAULT_RESULTS = 10
-MAX_RESULTS = 200
-
 
 def flatten_pages(
     pages: DataFrame,
     value_col: str = "value",
     region_col: str = "region_code",
     page_order: Sequence[str] = ("page_no",),
-    fetch_keys: Sequence[str] = (),
+    *,
+    fetch_keys: Sequence[str],
     region: str | None = None,
     category_id: str | None = None,
 ) -> DataFrame:
@@ -67,7 +64,8 @@ def flatten_pages(
     )
 
 
-def cap_results(rows: DataFrame, requested: int | None, order: Sequence[str] = ("page_no", "place")) -> DataFrame:
-    """The first ``requested`` rows in listing order: 10 if not positive, never more than 200."""
-    wanted = requested if requested and requested > 0 else DEFAULT_RESULTS
-    return rows.orderBy(*order).limit(min(wanted, MAX_RESULTS))
+def cap_results(rows: DataFrame, limit: int, order: Sequence[str] = ("page_no", "place")) -> DataFrame:
+    """The first ``limit`` rows in listing order."""
+    if limit < 0:
+        raise ValueError(f"limit must not be negative: {limit}")
+    return rows.orderBy(*order).limit(limit)

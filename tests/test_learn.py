@@ -67,10 +67,6 @@ def test_forest_grid(spark):
     assert len(learn.random_forest_tuned().grid) == 36
 
 
-def test_optional_candidates_are_those_installed(spark):
-    assert all(c.family == "optional" for c in learn.optional_candidates())
-
-
 @pytest.fixture(scope="module")
 def run(episodes, tmp_path_factory):
     base = str(tmp_path_factory.mktemp("models"))

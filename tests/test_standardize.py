@@ -170,3 +170,10 @@ def test_type_columns_never_fail_under_ansi(spark):
     assert spark.conf.get("spark.sql.ansi.enabled") == "true"
     row = one(type_columns(rename_aliases(raw(spark, ("a", "??", "??", "??", "??", "??")))))
     assert row["view_count"] is row["publish_timestamp"] is row["trending_date_parsed"] is None
+
+
+def test_garbage_is_no_number(spark):
+    cells = ["NaN", "Infinity", "-Infinity", "5d", "5f", "0x1", "1e999", "", " ", None, "1,000", " 7 ", "1e3", "-1", ".5"]
+    df = spark.createDataFrame([(c, float("nan")) for c in cells], "a string, b double")
+    rows = df.select(clean_number(df, "a").alias("a"), clean_number(df, "b").alias("b")).collect()
+    assert [r.a for r in rows] == [None] * 10 + [1000.0, 7.0, 1000.0, -1.0, 0.5] and {r.b for r in rows} == {None}
