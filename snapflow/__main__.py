@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import argparse
+import json
 import logging
 from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import SparkSession
 
+from snapflow.operators.report import metric_summary
 from snapflow.operators.split import DEFAULT_CUTOFF
 from snapflow.plans import (
     aggregate_metrics, candidates, clean_snapshots, extract_regions, promote_best, score_table, train_models,
@@ -18,7 +20,9 @@ from snapflow.sources import (
     csv_to_parquet, load_model, read_episode_table, read_snapshot_csv, read_topic, save_model,
     write_metrics, write_parquet, write_topic,
 )
-from snapflow.streaming import resolve_checkpoint_dir, score_stream
+from snapflow.sources.kafka import as_messages
+from snapflow.sources.pages import flatten_pages
+from snapflow.streaming import read_live_table, resolve_checkpoint_dir, score_stream
 from snapflow.streaming.checkpoint import POLICIES
 
 logger = logging.getLogger("snapflow")
@@ -26,7 +30,10 @@ logger = logging.getLogger("snapflow")
 
 def clean(spark: SparkSession, args: argparse.Namespace) -> None:
     """Raw snapshots (CSV or parquet) -> episode table."""
-    raw = spark.read.parquet(args.raw) if args.format == "parquet" else read_snapshot_csv(spark, args.raw)
+    if args.format == "parquet":
+        raw = spark.read.parquet(args.raw)
+    else:
+        raw = read_snapshot_csv(spark, args.raw, multi_line=not args.single_line)
     logger.info("Wrote %s episodes to %s", clean_snapshots(raw, args.out, args.max_gap_days, args.co_locate), args.out)
 
 
@@ -37,7 +44,8 @@ def convert(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def extract(spark: SparkSession, args: argparse.Namespace) -> None:
     """Rows of the Asia-Pacific countries -> CSV, with a report."""
-    report = extract_regions(read_snapshot_csv(spark, args.source), args.target, column=args.column)
+    raw = read_snapshot_csv(spark, args.source, multi_line=not args.single_line)
+    report = extract_regions(raw, args.target, column=args.column)
     logger.info("Wrote %s: %s", args.target, report)
 
 
@@ -70,12 +78,28 @@ def predict(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def stream(spark: SparkSession, args: argparse.Namespace) -> None:
     """Topic of messages -> topic of predictions."""
-    messages = read_topic(spark, args.kafka_servers, args.input_topic, args.starting_offsets)
-    predictions = score_stream(messages, load_model(args.model_path))
+    bound = {"maxOffsetsPerTrigger": str(args.max_offsets_per_trigger)} if args.max_offsets_per_trigger else {}
+    messages = read_topic(
+        spark, args.kafka_servers, args.input_topic, args.starting_offsets, not args.tolerate_lost_offsets, **bound
+    )
+    predictions = score_stream(
+        messages, load_model(args.model_path), event_time_col=args.event_time_col, country_names=args.country_names
+    )
     checkpoint = resolve_checkpoint_dir(spark, args.checkpoint_dir, args.checkpoint_policy)
     write_topic(predictions, args.kafka_servers, args.output_topic, checkpoint).awaitTermination()
 
 
+def pages(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Landed pages of a listing API (parquet) -> one message per item and fetch, as files of JSON."""
+    rows = flatten_pages(spark.read.parquet(args.source), fetch_keys=args.fetch_keys, page_order=args.page_order)
+    as_messages(rows.drop("place", *args.page_order), "video_id").select("value").write.mode("overwrite").text(args.target)
+
+
+def report(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Live table -> count, mean, bounds and spread of its metrics."""
+    write_metrics(metric_summary(read_live_table(spark, args.live)), args.out)
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="snapflow", description=__doc__)
     jobs = top.add_subparsers(dest="job", required=True)
@@ -90,6 +114,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--out", required=True)
     p.add_argument("--format", choices=["csv", "parquet"], default="csv")
     p.add_argument("--max-gap-days", type=int, default=1)
+    p.add_argument("--single-line", action="store_true", help="no cell holds a line break, so files can be split")
     p.add_argument("--co-locate", action="store_true", help="one exchange, for items with few snapshots per day")
 
     p = job(convert)
@@ -101,6 +126,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("source")
     p.add_argument("target")
     p.add_argument("--column", help="country column, found by name if not given")
+    p.add_argument("--single-line", action="store_true", help="no cell holds a line break, so files can be split")
 
     p = job(train)
     p.add_argument("--data", required=True)
@@ -133,6 +159,20 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--input-topic", default="videos")
     p.add_argument("--output-topic", default="predictions")
     p.add_argument("--starting-offsets", choices=["earliest", "latest"], default="earliest")
+    p.add_argument("--max-offsets-per-trigger", type=int, help="most messages of a batch; without it the first holds all")
+    p.add_argument("--tolerate-lost-offsets", action="store_true", help="go on when the topic has dropped messages")
+    p.add_argument("--event-time-col", help="column with the snapshot time, such as the broker's timestamp")
+    p.add_argument("--country-names", type=json.loads, help="JSON object: country code of the feed -> name in training")
+
+    p = job(pages)
+    p.add_argument("source")
+    p.add_argument("target")
+    p.add_argument("--fetch-keys", nargs="+", required=True, help="columns that tell fetches apart")
+    p.add_argument("--page-order", nargs="+", default=["page_no"])
+
+    p = job(report)
+    p.add_argument("--live", required=True)
+    p.add_argument("--out", required=True)
     return top
 
 

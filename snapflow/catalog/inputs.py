@@ -137,7 +137,7 @@ def located_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One page of three items per conversation turn: one repeated by the next turn, one whose
-    statistics are incomplete in the first turn, one without an id."""
+    statistics are incomplete in the first turn, one without an id.  Two regions list the same ids."""
     statistics = F.struct(
         F.length("text").cast("string").alias("viewCount"),
         (F.col("turn") * 3).cast("string").alias("likeCount"),
@@ -154,16 +154,17 @@ def api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     def item(video_id, stats):
         return F.struct(video_id.alias("id"), snippet.alias("snippet"), stats.alias("statistics"))
 
-    pair = F.concat(F.lit("p"), "conv_id", F.lit("-"), F.floor(F.col("turn") / 2))
+    shared = F.floor(F.col("conv_id") / 2)
+    pair = F.concat(F.lit("p"), shared, F.lit("-"), F.floor(F.col("turn") / 2))
     late = F.struct(
         statistics["viewCount"].alias("viewCount"),
         F.when(F.col("turn") > 0, statistics["likeCount"]).alias("likeCount"),
         statistics["commentCount"].alias("commentCount"),
     )
-    items = F.array(item(pair, statistics), item(F.concat(F.lit("c"), "conv_id"), late), item(F.lit(""), statistics))
+    items = F.array(item(pair, statistics), item(F.concat(F.lit("c"), shared), late), item(F.lit(""), statistics))
     return table(spark, sf_dir, "conversations").select(
         "conv_id",
         "turn",
-        F.lit("VN").alias("region_code"),
+        F.when(F.col("conv_id") % 2 == 0, "VN").otherwise("TH").alias("region_code"),
         F.to_json(F.struct(items.alias("items"), F.lit("next").alias("nextPageToken"))).alias("value"),
     )

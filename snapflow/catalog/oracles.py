@@ -176,17 +176,17 @@ PEOPLE = f"""WITH people AS (
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
 
 API = """WITH listed AS (
-  SELECT conv_id, turn, 0 AS place, 'p' || conv_id || '-' || (turn // 2) AS video_id, role, text FROM conversations
+  SELECT conv_id, turn, 0 AS place, 'p' || (conv_id // 2) || '-' || (turn // 2) AS video_id, role, text FROM conversations
   UNION ALL
-  SELECT conv_id, turn, 1, 'c' || conv_id, role, text FROM conversations WHERE turn > 0),
+  SELECT conv_id, turn, 1, 'c' || (conv_id // 2), role, text FROM conversations WHERE turn > 0),
 firsts AS (
-  SELECT * FROM listed QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY conv_id, turn, place) = 1),
+  SELECT * FROM listed QUALIFY row_number() OVER (PARTITION BY conv_id % 2, video_id ORDER BY conv_id, turn, place) = 1),
 items AS (
   SELECT conv_id, turn, place, video_id, role AS title, text AS description, '2024-01-01T00:00:00Z' AS publish_time,
     CASE WHEN turn % 3 > 0 THEN role || '|t x' ELSE '' END AS tags,
     CAST(length(text) AS DOUBLE) AS views, CAST(length(text) AS DOUBLE) AS view_count,
     CAST(turn * 3 AS DOUBLE) AS likes, CAST(4 AS DOUBLE) AS comment_count,
-    'VN' AS country, CAST(conv_id % 9 AS VARCHAR) AS categoryId
+    CASE WHEN conv_id % 2 = 0 THEN 'VN' ELSE 'TH' END AS country, CAST(conv_id % 9 AS VARCHAR) AS categoryId
   FROM firsts)"""
 
 API_COLUMNS = """video_id, title, description, publish_time, tags, views, view_count, likes, comment_count,
@@ -318,7 +318,7 @@ WHERE country IN (SELECT country FROM people WHERE c_acctbal > 9900)""",
     "extract_report": f"""{PEOPLE} SELECT count(*) AS scanned_rows, count(*) FILTER (country IN ({_KEPT})) AS kept_rows,
   string_agg(DISTINCT country, ',' ORDER BY country) FILTER (country IN ({_KEPT})) AS kept_countries FROM people""",
     "api_flatten": f"{API} SELECT {API_COLUMNS} FROM items",
-    "api_category": f"{API} SELECT {API_COLUMNS} FROM items WHERE categoryId = '3'",
+    "api_category": f"{API} SELECT {API_COLUMNS} FROM items WHERE categoryId = '3' AND country = 'VN'",
     "api_capped": f"""{API}, capped AS (SELECT * FROM items ORDER BY conv_id, turn, place LIMIT 500)
 SELECT {API_COLUMNS} FROM capped""",
     "events_props_json": """SELECT event_id, CAST(regexp_extract(props, '"k": (-?[0-9]+)', 1) AS INT) AS k FROM events""",

@@ -91,15 +91,14 @@ def episode_rows(spark, sf_dir):
 
 @query
 def episode_targets(spark, sf_dir):
-    labelled = ep.assign_episodes(_event_days(spark, sf_dir), 1, EVENT_KEYS, "day")
-    return rounded(ep.episode_targets(labelled, EVENT_KEYS, "day"), 6, "log_trending_days")
+    return rounded(ep.episode_targets(_event_days(spark, sf_dir), 1, EVENT_KEYS, "day"), 6, "log_trending_days")
 
 
 @query
 def episode_join(spark, sf_dir):
-    labelled = ep.assign_episodes(_event_days(spark, sf_dir), 1, EVENT_KEYS, "day")
-    first = ep.first_snapshots(labelled, EVENT_KEYS, "day")
-    joined = ep.attach_episode_targets(first, ep.episode_targets(labelled, EVENT_KEYS, "day"), EVENT_KEYS)
+    found = _event_days(spark, sf_dir)
+    first = ep.first_snapshots(ep.assign_episodes(found, 1, EVENT_KEYS, "day"))
+    joined = ep.attach_episode_targets(first, ep.episode_targets(found, 1, EVENT_KEYS, "day"), EVENT_KEYS)
     return _episode_columns(joined.withColumn("reappear_count", (F.col("episode_id") - 1).cast("double")))
 
 
@@ -370,7 +369,7 @@ def train_summary(spark, sf_dir):
     base = new_run_dir(spark, "models")
     episodes_table = _episode_table(spark, sf_dir)
     learn.train_models(episodes_table, [learn.linear_regression()], CUTOFF, model_dir=base)
-    boosted = learn.gradient_boosting(maxIter=5)
+    boosted = learn.gradient_boosting()
     run = learn.train_models(
         episodes_table, [learn.linear_regression(), boosted], CUTOFF, model_dir=base, resume=True
     )
@@ -397,7 +396,7 @@ def score_rule(spark, sf_dir):
 
 @query
 def importance_top15(spark, sf_dir):
-    run = _trained(spark, sf_dir, learn.gradient_boosting(maxIter=10))
+    run = _trained(spark, sf_dir, learn.gradient_boosting())
     return run.importance.orderBy(F.col("importance").desc(), "feature").limit(15)
 
 
@@ -659,4 +658,4 @@ def stream_report(spark, sf_dir):
     parsed = valid_messages(parse_messages(sent, PREDICTION_SCHEMA, keep=["ts"]))
     points = rp.metric_points(parsed, "ts")
     write_live_table(points, f"{path}/out", f"{path}/checkpoint", available_now=True).awaitTermination()
-    return rounded(rp.metric_summary(read_live_table(spark, f"{path}/out")), 3, "mean", "max", "min", "stddev")
+    return rounded(rp.metric_summary(read_live_table(spark, f"{path}/out", points.schema)), 3, "mean", "max", "min", "stddev")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .parse import as_timestamp, clean_number, text_or_default
+from .parse import as_timestamp, clean_number, clock_hour, clock_weekday, text_or_default
 
 SECONDS_PER_HOUR = 3600.0
 
@@ -65,12 +65,14 @@ def add_shared_features(
     title_col: str = "title",
     description_col: str = "description",
     tags_col: str = "tags",
+    zone: str = "UTC",
 ) -> DataFrame:
     """Add count, ratio, time and text features.
 
     Works the same on a batch and on a stream.  A column that is absent counts as missing, never
     as zero views: ``views_normalized`` is the first non-null of the views columns that exist.
-    Without the snapshot column the snapshot is now.
+    Without the snapshot column the snapshot is now.  Hours, weekdays and times without a zone are
+    those of ``zone``; the session's time zone has no influence.
     """
     present = set(df.columns)
 
@@ -81,7 +83,7 @@ def add_shared_features(
         return text_or_default(F.col(name)) if name in present else F.lit("")
 
     def moment(name: str, absent: Column) -> Column:
-        return as_timestamp(df, name) if name in present else absent
+        return as_timestamp(df, name, zone) if name in present else absent
 
     views = [name for name in views_cols if name in present]
     counts = {name: number(name) for name in dict.fromkeys([*views, likes_col, comments_col])}
@@ -102,14 +104,14 @@ def add_shared_features(
 
     views_seen, likes, comments = F.col("views_normalized"), F.col(likes_col), F.col(comments_col)
     hours = F.col("hours_to_trending")
-    weekday = F.coalesce(F.dayofweek(published).cast("double"), F.lit(DEFAULT_PUBLISH_WEEKDAY))
+    weekday = F.coalesce(clock_weekday(published, zone).cast("double"), F.lit(DEFAULT_PUBLISH_WEEKDAY))
     return settled.withColumns(
         {
             "log_hours_to_trending": F.log1p(F.coalesce(hours, F.lit(0.0))),
             "title_length": text_length(F.col(title_col)),
             "description_length": text_length(F.col(description_col)),
             "tag_count": tag_count(F.col(tags_col)),
-            "publish_hour": F.coalesce(F.hour(published).cast("double"), F.lit(DEFAULT_PUBLISH_HOUR)),
+            "publish_hour": F.coalesce(clock_hour(published, zone).cast("double"), F.lit(DEFAULT_PUBLISH_HOUR)),
             "publish_day_of_week": weekday,
             "publish_dow": weekday,
             "log_views": log_count(views_seen),

@@ -55,15 +55,19 @@ def parse_date(value: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
     return F.coalesce(*[F.when(fits(fmt), F.try_to_date(value, fmt)) for fmt in formats])
 
 
-def parse_publish_time(value: Column, lenient: bool = False) -> Column:
-    """Timestamp of an ISO text; ``lenient`` also takes whatever Spark's own cast takes."""
+def parse_publish_time(value: Column) -> Column:
+    """Timestamp of an ISO text, else of whatever Spark's own cast takes; a text without a zone is UTC.
+
+    The same rule in batch and stream, whatever the session's time zone.
+    """
     text = blank_to_null(value)
     # Date and time take 19 characters in both spellings; what follows tells them apart.
     detailed = (F.substring(text, 20, 1) == ".") | (F.substring(text, 23, 1) == ":")
     parsed = F.when(detailed, F.try_to_timestamp(text, F.lit(DETAILED_PUBLISH_FORMAT))).otherwise(
         F.try_to_timestamp(text, F.lit(PUBLISH_FORMAT))
     )
-    return F.coalesce(parsed, text.try_cast("timestamp")) if lenient else parsed
+    zoned = F.concat(text, F.when(F.length(text) == 10, F.lit("T00:00:00Z")).otherwise(F.lit("Z")))
+    return F.coalesce(parsed, zoned.try_cast("timestamp"), text.try_cast("timestamp"))
 
 
 def with_parsed_columns(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
@@ -78,11 +82,29 @@ def with_parsed_columns(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return df.select(*rest, F.inline(F.array(parsed)))
 
 
-def as_timestamp(df: DataFrame, name: str) -> Column:
-    """Column ``name`` as timestamp: typed columns are cast, text is parsed."""
-    if isinstance(df.schema[name].dataType, T.StringType):
-        return parse_publish_time(F.col(name), lenient=True)
-    return F.col(name).cast("timestamp")
+def as_timestamp(df: DataFrame, name: str, zone: str = "UTC") -> Column:
+    """Column ``name`` as timestamp: text is parsed, a date or a time without zone is one of ``zone``."""
+    kind, value = df.schema[name].dataType, F.col(name)
+    if isinstance(kind, T.StringType):
+        return parse_publish_time(value)
+    if isinstance(kind, (T.DateType, T.TimestampNTZType)):
+        clock = value.cast("timestamp_ntz")
+        second = F.extract(F.lit("SECOND"), clock)
+        return F.make_timestamp(
+            F.year(clock), F.month(clock), F.day(clock), F.hour(clock), F.minute(clock), second, F.lit(zone)
+        )
+    return value.cast("timestamp")
+
+
+def clock_hour(moment: Column, zone: str = "UTC") -> Column:
+    """Hour of the day (0 to 23) in ``zone``, whatever the session's time zone."""
+    return F.pmod(F.floor(F.unix_seconds(F.from_utc_timestamp(moment, zone)) / 3600), F.lit(24)).cast("int")
+
+
+def clock_weekday(moment: Column, zone: str = "UTC") -> Column:
+    """Day of the week in ``zone``, 1 = Sunday, whatever the session's time zone."""
+    days = F.floor(F.unix_seconds(F.from_utc_timestamp(moment, zone)) / 86400)
+    return (F.pmod(days + 4, F.lit(7)) + 1).cast("int")  # day 0 was a Thursday
 
 
 def normalize_country(value: Column) -> Column:

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ..functions.parse import clean_number, parse_date, parse_publish_time, with_parsed_columns
+from ..functions.parse import as_timestamp, clean_number, parse_date, with_parsed_columns
 from ..schemas import ALIASES, COUNT_COLUMNS, DATE_COLUMN, ITEM_KEYS, OPTIONAL_DEFAULTS, REQUIRED_COLUMNS
 
 SNAPSHOT_KEYS: tuple[str, ...] = (*ITEM_KEYS, DATE_COLUMN)
@@ -40,20 +40,22 @@ def rename_aliases(df: DataFrame) -> DataFrame:
 
 
 def type_columns(df: DataFrame) -> DataFrame:
-    """Counts to double, publish time to timestamp, trending date to date; unreadable cells to null."""
-    published, trending = df.schema["publish_date"].dataType, df.schema["trending_date"].dataType
-    return with_parsed_columns(
-        df,
-        {
-            **{name: clean_number(df, name) for name in COUNT_COLUMNS},
-            "publish_timestamp": parse_publish_time(F.col("publish_date"))
-            if isinstance(published, T.StringType)
-            else F.col("publish_date").cast("timestamp"),
-            DATE_COLUMN: parse_date(F.col("trending_date"))
-            if isinstance(trending, T.StringType)
-            else F.col("trending_date").cast("date"),
-        },
-    )
+    """Counts to double, publish time to timestamp, trending date to date; unreadable cells to null.
+
+    Only text is parsed behind the barrier of :func:`with_parsed_columns`: filters on a column that is typed
+    already, such as a date the files are partitioned by, still reach the scan.
+    """
+
+    def is_text(name: str) -> bool:
+        return isinstance(df.schema[name].dataType, T.StringType)
+
+    trending = F.col("trending_date")
+    made = {name: (name, clean_number(df, name)) for name in COUNT_COLUMNS}
+    made["publish_timestamp"] = "publish_date", as_timestamp(df, "publish_date")
+    made[DATE_COLUMN] = "trending_date", parse_date(trending) if is_text("trending_date") else trending.cast("date")
+    parsed = {name: value for name, (source, value) in made.items() if is_text(source)}
+    typed = {name: value for name, (source, value) in made.items() if not is_text(source)}
+    return (with_parsed_columns(df, parsed) if parsed else df).withColumns(typed)
 
 
 def identified(df: DataFrame) -> DataFrame:
@@ -63,6 +65,19 @@ def identified(df: DataFrame) -> DataFrame:
     )
 
 
+def cleaning_counts() -> list[Column]:
+    """Counts of typed rows and of those that cleaning rejects, by cause; a row may have several causes."""
+    causes = {
+        "no_id": F.col("video_id").isNull(),
+        "no_publish_time": F.col("publish_timestamp").isNull(),
+        "no_date": F.col(DATE_COLUMN).isNull(),
+        "no_count": F.greatest(*[F.col(c).isNull() for c in COUNT_COLUMNS]),
+        "negative_count": F.least(*COUNT_COLUMNS) < 0,
+        "liked_beyond_views": F.col("likes") > F.col("view_count"),
+    }
+    return [F.count(F.lit(1)).alias("raw_rows"), *[F.count_if(cause).alias(name) for name, cause in causes.items()]]
+
+
 def default_preference(df: DataFrame) -> list[Column]:
     """Largest counts first; a hash of the whole row settles the rest, so the choice never varies."""
     plain = [c for c in df.columns if not isinstance(df.schema[c].dataType, (T.MapType, T.VariantType))]
@@ -83,13 +98,15 @@ def deduplicate(
 
 
 def standardize(
-    df: DataFrame, prefer: Sequence[Column] | None = None, co_locate: bool = False
+    df: DataFrame, prefer: Sequence[Column] | None = None, co_locate: bool = False, report: Observation | None = None
 ) -> DataFrame:
     """Rename, type, reject rows that cannot be placed, keep one row per (item, country, day).
 
     ``co_locate`` brings all rows of an item together first, so that forming its episodes later
     needs no exchange of its own.  Only use it where an item has few snapshots per day: nothing is
-    thinned before that exchange, and all rows of an item go to one task.
+    thinned before that exchange, and all rows of an item go to one task.  ``report`` receives
+    :func:`cleaning_counts` on the way.
     """
-    placed = identified(type_columns(rename_aliases(df)))
+    typed = type_columns(rename_aliases(df))
+    placed = identified(typed if report is None else typed.observe(report, *cleaning_counts()))
     return deduplicate(placed.repartition(*ITEM_KEYS) if co_locate else placed, prefer=prefer)

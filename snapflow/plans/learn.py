@@ -22,7 +22,7 @@ from ..functions.features import add_shared_features, back_transform
 from ..operators.evaluate import best_model, constant_baseline, regression_metrics
 from ..operators.split import DEFAULT_CUTOFF, temporal_split, training_projection
 from ..schemas import (
-    CATEGORICAL_FEATURES, DATE_COLUMN, LABEL_COLUMN, MEAN_BASELINE, NUMERIC_FEATURES, TARGET_COLUMN,
+    CATEGORICAL_FEATURES, DATE_COLUMN, LABEL_COLUMN, MEAN_BASELINE, METRICS_SCHEMA, NUMERIC_FEATURES, TARGET_COLUMN,
 )
 from ..sources.metrics import read_metrics, write_model_metrics
 from ..sources.models import load_model, model_path, save_model
@@ -39,8 +39,6 @@ LINEAR_SETTINGS = {"maxIter": 80, "regParam": 0.05}
 BOOSTING_SETTINGS = {"maxIter": 60, "maxDepth": 6, "seed": SEED}
 DEFAULT_TREES = 100
 DEFAULT_DEPTH = 12
-FOREST_GRID = {"tree_step": 20, "min_trees": 20, "depth_step": 2, "min_depth": 4,
-               "min_instances": [1, 2], "max_bins": [32, 64]}
 
 MODES = ("all", "fast", "ultra_fast", "linear_regression", "gradient_boosting", "random_forest", "random_forest_tuned")
 
@@ -76,13 +74,12 @@ def random_forest(trees: int = DEFAULT_TREES, depth: int = DEFAULT_DEPTH) -> Can
 
 
 def forest_grid(trees: int, depth: int) -> dict[str, list[int]]:
-    """Values tried around ``trees`` and ``depth``."""
-    g = FOREST_GRID
+    """Values tried: ``trees`` and 20 more or less (but 20 at least), ``depth`` and 2 more or less (but 4 at least)."""
     return {
-        "numTrees": sorted({max(g["min_trees"], trees - g["tree_step"]), trees, trees + g["tree_step"]}),
-        "maxDepth": sorted({max(g["min_depth"], depth - g["depth_step"]), depth, depth + g["depth_step"]}),
-        "minInstancesPerNode": g["min_instances"],
-        "maxBins": g["max_bins"],
+        "numTrees": sorted({max(20, trees - 20), trees, trees + 20}),
+        "maxDepth": sorted({max(4, depth - 2), depth, depth + 2}),
+        "minInstancesPerNode": [1, 2],
+        "maxBins": [32, 64],
     }
 
 
@@ -215,18 +212,21 @@ def _featured(df: DataFrame) -> DataFrame:
     return training_projection(df)
 
 
-def _check_rows(train: DataFrame, test: DataFrame, max_categories: int) -> tuple[int, int]:
-    """Number of training and test rows; fails if there are none or the categories are too many to one-hot."""
-    seen = train.agg(
-        F.count("*").alias("rows"), *[F.approx_count_distinct(c).alias(c) for c in CATEGORICAL_FEATURES]
-    ).first()
-    test_rows = test.count()
-    if seen["rows"] == 0 or test_rows == 0:
-        raise ValueError("Training or test rows are missing. Choose another cutoff date.")
-    wide = {c: seen[c] for c in CATEGORICAL_FEATURES if seen[c] > max_categories}
-    if wide:
-        raise ValueError(f"Too many categories to one-hot: {wide}; limit {max_categories}")
-    return seen["rows"], test_rows
+def _check_rows(train: DataFrame, test: DataFrame) -> tuple[int, int]:
+    """Number of training and test rows; fails if there are none."""
+    rows = train.count(), test.count()
+    if 0 in rows:
+        raise ValueError(f"A cutoff needs rows on both sides; this one has {rows[0]} before and {rows[1]} after it")
+    return rows
+
+
+def _settings(candidate: Candidate) -> str:
+    """The estimator's parameters and grid as text, equal for equal settings."""
+
+    def text(params: dict) -> str:
+        return ", ".join(sorted(f"{p.name}={v}" for p, v in params.items()))
+
+    return "; ".join([text(candidate.estimator.extractParamMap()), *[text(point) for point in candidate.grid or []]])
 
 
 def _kept(prepared: DataFrame, rows: int) -> DataFrame:
@@ -273,39 +273,48 @@ def train_models(
     resume: bool = False,
     parallelism: int = 2,
     fold_local: bool = False,
-    max_categories: int = 10_000,
 ) -> TrainingRun:
     """Fit every candidate on the days before ``cutoff``, score it on the days from it on.
 
     The preprocessing is fitted once and its output kept for all candidates (``fold_local`` fits
     it anew in each fold instead).  A candidate that fails is recorded and the others go on.  With
     ``model_dir`` every model is saved with its scores as soon as it is done, and ``resume`` skips
-    those that have scores there.
+    those that have scores there, measured with the same cutoff, purging, numbers of rows and settings.
+    Every category keeps a slot of its own, in sparse vectors.
     """
     began = time.perf_counter()
     spark = df.sparkSession
     tries = candidates() if tries is None else list(tries)
     train, test = (_featured(part) for part in temporal_split(df, cutoff, purge=purge))
-    train_rows, test_rows = _check_rows(train, test, max_categories)
+    train_rows, test_rows = _check_rows(train, test)
 
     families = {c.name: c.family for c in tries}
     scores: list[dict] = []
     failures: list[dict] = []
     models: dict[str, PipelineModel] = {}
 
+    split = f"cutoff={cutoff}, purge={purge}, train_rows={train_rows}, test_rows={test_rows}"
+    origins = {c.name: f"{split}, fold_local={fold_local}; {_settings(c)}" for c in tries} | {MEAN_BASELINE: split}
+
     def record(name: str, row, family: str) -> dict:
         entry = {"model_name": name, "rmse": row["rmse"], "mae": row["mae"], "r2": row["r2"]}
         scores.append({**entry, "model_family": family})
         if model_dir is not None:
-            write_model_metrics(spark, entry, model_dir)
+            write_model_metrics(spark, {**entry, "measured_on": origins[name]}, model_dir)
         return entry
 
-    done = {r["model_name"]: r for r in read_metrics(spark, model_dir).collect()} if resume and model_dir else {}
+    # one row per model
+    saved = read_metrics(spark, model_dir, with_origin=True).collect() if resume and model_dir else []
+    done = {r["model_name"]: r for r in saved if r["measured_on"] == origins.get(r["model_name"])}
     resumed = [c.name for c in tries if c.name in done]
     for name in resumed:
-        scores.append({**done[name].asDict(), "model_family": families[name]})
+        scores.append({**{c: done[name][c] for c in METRICS_SCHEMA.names}, "model_family": families[name]})
 
-    pre = preprocessing().fit(train)
+    if len(resumed) < len(tries):
+        pre = preprocessing().fit(train)
+    else:
+        pre = load_model(model_path(model_dir, resumed[0]))
+        pre = PipelineModel(pre.stages[:-1])
     train_x = _kept(pre.transform(train), train_rows)
     test_x = _kept(pre.transform(test), test_rows)
     try:
@@ -319,12 +328,12 @@ def train_models(
                     save_model(model, model_path(model_dir, candidate.name))
                 record(candidate.name, row, candidate.family)
                 models[candidate.name] = model
-                logger.info("Trained %s in %.2fs", candidate.name, time.perf_counter() - started)
+                logger.info("%s took %.2f s", candidate.name, time.perf_counter() - started)
             except Exception as error:  # one bad candidate must not cost the others
                 failures.append({"model_name": candidate.name, "error": str(error)})
-                logger.exception("Training failed for %s", candidate.name)
+                logger.exception("%s could not be fitted", candidate.name)
         if not scores:
-            raise RuntimeError(f"No model was trained: {failures}")
+            raise RuntimeError(f"None of the candidates could be fitted: {failures}")
         record(MEAN_BASELINE, regression_metrics(constant_baseline(train_x, test_x)).first(), "spark")
     finally:
         train_x.unpersist()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 
 from ..functions.features import add_shared_features
 from ..operators.episodes import collapse_episodes
@@ -18,7 +18,8 @@ logger = logging.getLogger(__name__)
 
 
 def build_training_frame(
-    raw: DataFrame, max_gap_days: int = 1, prefer: Sequence[Column] | None = None, co_locate: bool = False
+    raw: DataFrame, max_gap_days: int = 1, prefer: Sequence[Column] | None = None, co_locate: bool = False,
+    report: Observation | None = None,
 ) -> DataFrame:
     """The episode table of raw snapshot rows.
 
@@ -27,7 +28,7 @@ def build_training_frame(
     day.  No joins, no caching.  With ``co_locate`` it is one exchange and one sort, at the price
     named in :func:`snapflow.operators.standardize.standardize`.
     """
-    snapshots = sane_counts(standardize(raw, prefer, co_locate))
+    snapshots = sane_counts(standardize(raw, prefer, co_locate, report))
     episodes = collapse_episodes(snapshots, max_gap_days)
     featured = add_shared_features(episodes, snapshot_ts_col=DATE_COLUMN, views_cols=("view_count",))
     return featured.select(*EPISODE_TABLE).dropna(
@@ -39,12 +40,15 @@ def clean_snapshots(raw: DataFrame, target: str, max_gap_days: int = 1, co_locat
     """Write the episode table of ``raw`` to ``target`` and return its number of rows.
 
     The table is computed once; its rows are counted from the footers of the files written.
-    Nothing is written if ``raw`` is empty.
+    Raw rows and rejects by cause are counted in the same pass and logged.  Nothing is written if
+    ``raw`` is empty.
     """
     if raw.isEmpty():
         logger.warning("No rows to clean")
         return 0
-    write_parquet(build_training_frame(raw, max_gap_days, co_locate=co_locate), target)
+    report = Observation("cleaning")
+    write_parquet(build_training_frame(raw, max_gap_days, co_locate=co_locate, report=report), target)
+    logger.info("Cleaning: %s", report.get)
     rows = read_episode_table(raw.sparkSession, target).count()
     if rows == 0:
         logger.warning("No rows left after cleaning")

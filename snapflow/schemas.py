@@ -63,6 +63,7 @@ EPISODE_TABLE: tuple[str, ...] = (
     "view_count", "likes", "comment_count",
 )
 
+# --- fixed values: columns of the scored table, in order ---
 SCORED_COLUMNS: tuple[str, ...] = (
     "video_id", "country", "trending_date_parsed",
     "views_normalized", "log_views", "log_likes", "log_comment_count",
@@ -111,3 +112,5 @@ PREDICTION_SCHEMA = T.StructType(
 
 MEAN_BASELINE = "mean_baseline"
 METRICS_SCHEMA = T.StructType([*_fields(T.StringType(), "model_name"), *_fields(T.DoubleType(), "rmse", "mae", "r2")])
+#: Saved scores also say what they were measured on, so that only like runs are continued.
+SAVED_METRICS_SCHEMA = T.StructType([*METRICS_SCHEMA.fields, *_fields(T.StringType(), "measured_on")])

@@ -29,14 +29,15 @@ def source_options(
 
 
 def read_topic(
-    spark: SparkSession, servers: str, topic: str, starting_offsets: str = "earliest", **options: str
+    spark: SparkSession, servers: str, topic: str, starting_offsets: str = "earliest", fail_on_data_loss: bool = True,
+    **options: str,
 ) -> DataFrame:
     """Stream of the topic's messages; the payload is in ``value``.
 
     ``options`` are passed on, such as ``maxOffsetsPerTrigger`` to bound a batch or
     ``minPartitions`` to read a topic with more tasks than it has partitions.
     """
-    reader = spark.readStream.format("kafka").options(**source_options(servers, topic, starting_offsets))
+    reader = spark.readStream.format("kafka").options(**source_options(servers, topic, starting_offsets, fail_on_data_loss))
     return reader.options(**options).load()
 
 

@@ -15,10 +15,11 @@ def read_snapshot_csv(
 
     ``columns`` names the columns up front and saves the look at the header.  ``multi_line`` reads
     quoted line breaks but makes each file one task: convert such files once with
-    :func:`csv_to_parquet`, or switch it off where texts hold none and files are split.
+    :func:`csv_to_parquet`, or switch it off where texts hold none and files are split.  A file whose
+    header names other columns, or the same in another order, is an error: read it apart and union by name.
     """
     reader = spark.read.options(
-        header=True, quote='"', escape='"', mode="PERMISSIVE", inferSchema=False, multiLine=multi_line
+        header=True, quote='"', escape='"', mode="PERMISSIVE", inferSchema=False, multiLine=multi_line, enforceSchema=False
     )
     if columns is not None:
         reader = reader.schema(T.StructType([T.StructField(name, T.StringType()) for name in columns]))

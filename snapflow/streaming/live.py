@@ -2,27 +2,37 @@
 
 from __future__ import annotations
 
+from concurrent.futures import Future
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 
 def write_live_table(
     df: DataFrame, path: str, checkpoint: str, available_now: bool = False
 ) -> StreamingQuery:
-    """Append every micro-batch to ``path`` under its own ``batch_id``.
+    """Append every micro-batch to ``path`` under the stream's ``run_id`` and its own ``batch_id``.
 
     A batch that is replayed after a failure overwrites what it wrote before, so no row is
-    counted twice.
+    counted twice.  A stream keeps its id for the life of its checkpoint; one that starts from a
+    new checkpoint numbers its batches from 0 again, but under another id.
     """
+    started: Future[str] = Future()
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+        run = started.result()  # the first batch may be ready before start() has returned
+        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/run_id={run}/batch_id={batch_id}")
 
     writer = df.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
-    return writer.start()
+    query = writer.start()
+    started.set_result(query.id)
+    return query
 
 
-def read_live_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_live_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """All batches so far; with ``schema`` no file is opened to learn the columns."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.parse import clean_number
 from ..schemas import PAYLOAD_SCHEMA
 
 CORRUPT = "_corrupt_record"
@@ -20,11 +21,15 @@ def parse_messages(
 
     ``keep`` names columns of the input to carry along, such as the broker's timestamp.  The
     fields come out of a generator, so filters on them do not parse the message a second time.
+    Numbers may come as text; one that cannot be read is null and does not spoil its message.
     """
-    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    numbers = [f.name for f in schema.fields if isinstance(f.dataType, T.DoubleType)]
+    as_read = [T.StructField(f.name, T.StringType()) if f.name in numbers else f for f in schema.fields]
+    with_corrupt = T.StructType([*as_read, T.StructField(CORRUPT, T.StringType())])
     text = F.col(value_col).cast("string")
     data = F.from_json(text, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return df.select(*keep, F.inline(F.array(data)))
+    fields = df.select(*keep, F.inline(F.array(data)))
+    return fields.withColumns({name: clean_number(fields, name) for name in numbers})
 
 
 def _identified(id_col: str) -> Column:
@@ -32,8 +37,8 @@ def _identified(id_col: str) -> Column:
 
 
 def valid_messages(parsed: DataFrame, id_col: str = "video_id") -> DataFrame:
-    """Messages with an id that is not blank."""
-    return parsed.filter(_identified(id_col)).drop(CORRUPT)
+    """Readable messages with an id that is not blank; none of them is among the rejected ones."""
+    return parsed.filter(_identified(id_col) & F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 def rejected_messages(parsed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

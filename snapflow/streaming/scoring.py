@@ -12,7 +12,10 @@ from ..functions.features import add_shared_features, back_transform
 from ..functions.parse import parse_publish_time
 from .payload import parse_messages, valid_messages
 
-SNAPSHOT = "parsed_trending_date"
+SNAPSHOT = "snapshot_time"
+
+# --- fixed values: what a published prediction says of an unknown text ---
+OUTPUT_DEFAULTS = {"title": "Unknown Title", "description": "", "country": "Unknown"}
 
 
 def stream_features(
@@ -33,7 +36,7 @@ def stream_features(
     snapshot = F.current_timestamp() if event_time_col is None else F.col(event_time_col).cast("timestamp")
     added = {
         SNAPSHOT: snapshot,
-        "publish_timestamp": parse_publish_time(F.col("publish_time"), lenient=True),
+        "publish_timestamp": parse_publish_time(F.col("publish_time")),
     }
     if country_names:
         names = F.create_map(*[F.lit(text) for pair in country_names.items() for text in pair])
@@ -45,9 +48,7 @@ def prediction_output(scored: DataFrame) -> DataFrame:
     """What is published of a scored row."""
     return scored.select(
         "video_id",
-        F.coalesce("title", F.lit("Unknown Title")).alias("title"),
-        F.coalesce("description", F.lit("")).alias("description"),
-        F.coalesce("country", F.lit("Unknown")).alias("country"),
+        *[F.coalesce(name, F.lit(text)).alias(name) for name, text in OUTPUT_DEFAULTS.items()],
         F.col("views_normalized").alias("views"),
         "likes",
         "comment_count",

@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 import random
 
 import pytest
@@ -43,6 +44,19 @@ def test_jobs_end_to_end(spark, work):
     main(["predict", "--model-path", at("best"), "--data", at("episodes")])
 
 
+def test_pages_and_report(spark, work):
+    page = {"items": [{"id": "a", "snippet": {"title": "t"}, "statistics": {"viewCount": "5", "likeCount": "1", "commentCount": "0"}}]}
+    rows = [(json.dumps(page), region, 1, day) for region in ("VN", "TH") for day in (1, 2)]
+    spark.createDataFrame(rows, "value string, region_code string, page_no int, day int").write.parquet(str(work / "pages"))
+    main(["pages", str(work / "pages"), str(work / "messages"), "--fetch-keys", "region_code", "day"])
+    sent = [json.loads(r[0]) for r in spark.read.text(str(work / "messages")).collect()]
+    assert sorted((m["country"], m["day"], m["views"]) for m in sent) == [("TH", 1, 5.0), ("TH", 2, 5.0), ("VN", 1, 5.0), ("VN", 2, 5.0)]
+    points = "video_id string, timestamp timestamp, views double, likes double, comments double, predicted_trending_days double"
+    spark.createDataFrame([("a", None, 2.0, 1.0, 0.0, 3.0)], points).write.parquet(str(work / "live/run_id=x/batch_id=0"))
+    main(["report", "--live", str(work / "live"), "--out", str(work / "report")])
+    assert spark.read.json(str(work / "report")).count() > 0
+
+
 def test_arguments():
     args = parser().parse_args(["train", "--data", "x", "--cutoff", "2025-05-01", "--no-tune"])
     assert (args.cutoff, args.no_tune, args.model) == (dt.date(2025, 5, 1), True, MODES[0])

@@ -62,8 +62,7 @@ def test_against_brute_force(spark):
 def test_collapse_equals_the_join_form(spark):
     rng = random.Random(3)
     df = all_days(spark, {"v": rng.sample(range(1, 80), 45), "w": rng.sample(range(1, 80), 30)})
-    labelled = assign_episodes(df)
-    joined = attach_episode_targets(first_snapshots(labelled), episode_targets(labelled))
+    joined = attach_episode_targets(first_snapshots(assign_episodes(df)), episode_targets(df))
     columns = ["video_id", "country", "episode_id", "n", "trending_days", "episode_start_date", "episode_end_date", "log_trending_days"]
     left, right = collapse_episodes(df).select(columns), joined.select(columns)
     assert left.exceptAll(right).count() == right.exceptAll(left).count() == 0

@@ -99,3 +99,14 @@ def test_back_transform_and_tier(spark):
 def test_no_python_in_the_plan(spark):
     df = add_shared_features(spark.createDataFrame([("a",)], "title string"), "snap")
     assert not runs_python(df)
+
+
+def test_features_do_not_follow_the_session_time_zone(spark):
+    df = spark.createDataFrame([("2024-01-07T00:30:00Z", dt.date(2024, 1, 8))], "publish_timestamp string, day date")
+    columns = ["publish_hour", "publish_day_of_week", "hours_to_trending"]
+    for zone in ("UTC", "Asia/Bangkok", "America/New_York"):
+        session = spark.newSession()
+        session.conf.set("spark.sql.session.timeZone", zone)
+        here = session.createDataFrame(df.collect(), df.schema)
+        assert tuple(add_shared_features(here, "day").select(columns).first()) == (0.0, 1.0, 23.5)
+        assert tuple(add_shared_features(here, "day", zone="Asia/Bangkok").select(columns).first()) == (7.0, 1.0, 16.5)

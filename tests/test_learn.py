@@ -86,7 +86,7 @@ def test_failures_are_recorded(run):
 
 
 def test_nothing_trained(episodes):
-    with pytest.raises(RuntimeError, match="No model was trained"):
+    with pytest.raises(RuntimeError, match="could be fitted"):
         learn.train_models(episodes, [learn.Candidate("broken", Broken())], CUTOFF)
 
 
@@ -95,9 +95,11 @@ def test_no_test_rows(episodes):
         learn.train_models(episodes, [learn.linear_regression()], dt.date(2030, 1, 1))
 
 
-def test_too_many_categories(episodes):
-    with pytest.raises(ValueError, match="Too many categories"):
-        learn.train_models(episodes, [learn.linear_regression()], CUTOFF, max_categories=3)
+def test_every_category_keeps_a_slot(episodes):
+    many = episodes.withColumn("categoryId", F.xxhash64("video_id", "episode_id").cast("string"))
+    run = learn.train_models(many, [learn.linear_regression()], CUTOFF)
+    labels = many.filter(F.col("trending_date_parsed") < F.lit(CUTOFF)).select("categoryId").distinct().count()
+    assert run.failures == [] and len(run.best.stages[0].labelsArray[1]) == labels > 100
 
 
 def test_importance_names_columns(run):
@@ -118,12 +120,21 @@ def test_summary(spark, run, tmp_path):
 
 def test_resume_skips_what_is_done(run, episodes):
     base, first = run
-    again = learn.train_models(episodes, [learn.linear_regression(), learn.gradient_boosting()], CUTOFF, model_dir=base, resume=True)
+    again = learn.train_models(episodes, [learn.linear_regression(), learn.gradient_boosting(maxIter=3, maxDepth=3)], CUTOFF, model_dir=base, resume=True)
     assert again.resumed == ["linear_regression", "gradient_boosting"]
     assert again.best_name == first.best_name
+    assert set(again.scores[0]) == {"model_name", "rmse", "mae", "r2", "model_family"}
     assert {s["model_name"]: s["rmse"] for s in again.scores} == pytest.approx({s["model_name"]: s["rmse"] for s in first.scores})
 
 
+def test_resume_trains_anew_what_was_measured_on_other_rows(spark, episodes, tmp_path):
+    base, tries = str(tmp_path), [learn.linear_regression()]
+    learn.train_models(episodes, tries, CUTOFF, model_dir=base)
+    assert learn.train_models(episodes, tries, CUTOFF, purge=True, model_dir=base, resume=True).resumed == []
+    assert learn.train_models(episodes, tries, CUTOFF, purge=True, model_dir=base, resume=True).resumed == ["linear_regression"]
+    assert learn.train_models(episodes, tries, CUTOFF, model_dir=base, resume=True).resumed == []
+
+
 def test_purge_drops_training_rows_that_run_into_the_test(run, episodes):
     purged = learn.train_models(episodes, [learn.linear_regression()], CUTOFF, purge=True)
     assert purged.train_rows < run[1].train_rows and purged.test_rows == run[1].test_rows

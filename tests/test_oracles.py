@@ -23,7 +23,7 @@ def test_matches_sql(spark, sf_dir, duck, name):
     assert differences(contract.queries()[name](spark, sf_dir), duck, ORACLES[name]) == []
 
 
-@pytest.mark.parametrize("name", [n for n in ROWS_ONLY if n not in ("train_gbt", "train_rf")])
+@pytest.mark.parametrize("name", ROWS_ONLY)
 def test_other_queries_give_rows(spark, sf_dir, name):
     result = contract.queries()[name](spark, sf_dir)
     assert result.columns == list(dict.fromkeys(result.columns))

@@ -5,7 +5,8 @@ from plans import executed, hash_exchanges, runs_python
 from pyspark.sql import functions as F
 from snapflow.functions.parse import clean_number, normalize_country, parse_date, parse_publish_time
 from snapflow.operators.quality import is_empty, require_rows, row_counts, sane_counts
-from snapflow.operators.standardize import deduplicate, rename_aliases, standardize, type_columns
+from snapflow.operators.standardize import cleaning_counts, deduplicate, rename_aliases, standardize, type_columns
+from snapflow.sources.tables import read_snapshot_csv
 
 RAW = "video_id string, publishedAt string, video_trending_date string, views string, likes string, comment_count string"
 
@@ -50,7 +51,9 @@ def test_dates(spark, text, expected):
         ("2024-05-01T10:20:30-02:30", "2024-05-01 12:50:30"),
         ("2024-05-01T10:20:30.250Z", "2024-05-01 10:20:30.25"),
         ("2024-05-01T10:20:30.123456+01:00", "2024-05-01 09:20:30.123456"),
-        ("2024-05-01", None),
+        ("2024-05-01", "2024-05-01 00:00:00"),
+        ("2024-05-01 10:20:30", "2024-05-01 10:20:30"),
+        ("soon", None),
         ("   ", None),
         (None, None),
     ],
@@ -60,9 +63,9 @@ def test_publish_times(spark, text, expected):
     assert one(df.select(parse_publish_time(F.col("t")).cast("string")))[0] == expected
 
 
-def test_lenient_publish_time_takes_what_a_cast_takes(spark):
+def test_publish_time_takes_what_a_cast_takes(spark):
     df = spark.createDataFrame([("2024-05-01 10:20:30",), ("nonsense",)], "t string")
-    values = [r[0] for r in df.select(parse_publish_time(F.col("t"), lenient=True).cast("string")).collect()]
+    values = [r[0] for r in df.select(parse_publish_time(F.col("t")).cast("string")).collect()]
     assert values == ["2024-05-01 10:20:30", None]
 
 
@@ -177,3 +180,30 @@ def test_garbage_is_no_number(spark):
     df = spark.createDataFrame([(c, float("nan")) for c in cells], "a string, b double")
     rows = df.select(clean_number(df, "a").alias("a"), clean_number(df, "b").alias("b")).collect()
     assert [r.a for r in rows] == [None] * 10 + [1000.0, 7.0, 1000.0, -1.0, 0.5] and {r.b for r in rows} == {None}
+
+
+def test_columns_in_another_order_are_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("video_id,likes,view_count\nv,1,10\n")
+    (tmp_path / "b.csv").write_text("video_id,view_count,likes\nv,200,2\n")
+    with pytest.raises(Exception, match="header"):
+        read_snapshot_csv(spark, str(tmp_path)).collect()
+    assert read_snapshot_csv(spark, str(tmp_path / "a.csv")).count() == 1
+    assert read_snapshot_csv(spark, str(tmp_path / "a.csv")).select("view_count").first()[0] == "10"
+
+
+def test_a_typed_date_still_prunes_partitions(spark, tmp_path):
+    rows = [("v", "2024-01-01T00:00:00Z", dt.date(2024, 1, d), "10", "1", "1") for d in (1, 2, 3)]
+    ddl = "video_id string, publish_date string, trending_date date, view_count string, likes string, comment_count string"
+    spark.createDataFrame(rows, ddl).write.partitionBy("trending_date").parquet(str(tmp_path / "t"))
+    typed = type_columns(rename_aliases(spark.read.parquet(str(tmp_path / "t")))).filter(F.col("trending_date_parsed") > dt.date(2024, 1, 2))
+    assert typed.count() == 1
+    plan = executed(typed)
+    assert "PartitionFilters: []" not in plan and "2024-01-02" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
+def test_rejects_are_counted_by_cause(spark):
+    good = ("v", "2024-01-01T00:00:00Z", "2024-01-02", "10", "1", "0")
+    changed = [{}, {0: None}, {1: "?"}, {2: "?"}, {3: "NaN"}, {5: "-1"}, {4: "11"}, {0: None, 4: "11"}]
+    rows = [tuple(change.get(i, cell) for i, cell in enumerate(good)) for change in changed]
+    counted = type_columns(rename_aliases(raw(spark, *rows))).agg(*cleaning_counts()).first().asDict()
+    assert counted == {"raw_rows": 8, "no_id": 2, "no_publish_time": 1, "no_date": 1, "no_count": 1, "negative_count": 1, "liked_beyond_views": 2}

@@ -34,10 +34,19 @@ def test_payloads(spark):
     )
     rows = {r["video_id"]: r for r in valid_messages(parsed).collect()}
     assert set(rows) == {"a", "7", "s"}
-    assert rows["s"]["views"] is None
+    assert rows["s"]["views"] == 12.0
     assert "{bad" in {r[0] for r in rejected_messages(parsed).collect()}
 
 
+def test_a_message_is_either_valid_or_rejected(spark):
+    texts = [VIDEO, "{bad", '{"video_id": "a", "likes": 5', {"video_id": "b", "likes": "1,234"}, {"video_id": "c", "likes": "NaN"},
+             {"video_id": "d", "likes": {"x": 1}}, {"video_id": "e", "tags": ["x"]}]
+    parsed = parse_messages(feed(spark, *texts), keep=["ts"])
+    valid = {r["video_id"]: r["likes"] for r in valid_messages(parsed).collect()}
+    assert valid == {"a": 1.0, "b": 1234.0, "c": None, "d": None, "e": None}
+    assert {r[0] for r in rejected_messages(parsed).collect()} == {"{bad", '{"video_id": "a", "likes": 5'}
+
+
 def test_messages_are_parsed_once(spark, tmp_path):
     feed(spark, VIDEO).write.parquet(str(tmp_path / "m"))
     plan = executed(valid_messages(parse_messages(spark.read.parquet(str(tmp_path / "m")))))
@@ -154,3 +163,12 @@ def test_a_replayed_batch_is_not_counted_twice(spark, tmp_path):
         os.remove(f"{checkpoint}/commits/{name}")
     write_live_table(stream, out, checkpoint, available_now=True).awaitTermination()
     assert read_live_table(spark, out).count() == 5
+
+
+def test_a_new_checkpoint_keeps_the_history(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.range(5).write.parquet(source)
+    for name in ("cp1", "cp2"):
+        stream = spark.readStream.schema("id long").parquet(source)
+        write_live_table(stream, out, str(tmp_path / name), available_now=True).awaitTermination()
+    assert read_live_table(spark, out, stream.schema).count() == 10
