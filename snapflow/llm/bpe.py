@@ -3,8 +3,8 @@
 Texts are cut into pieces without a regular expression.  Every code point gets a class; a class is a
 transition function on eight states; these functions form a small monoid under composition, so the
 state before every character comes from an associative scan whose steps are look-ups in the monoid's
-multiplication table.  State and neighbouring classes say where pieces begin.  Each piece is then
-merged by rank, with a bounded cache of pieces per Python worker.
+multiplication table.  State and neighbouring classes say where pieces begin.  Pieces that the bounded
+cache of a Python worker lacks are then merged by rank, many side by side.
 
 Every Arrow batch is worked on by itself: no shuffle, memory bounded by the slice size.
 """
@@ -16,6 +16,7 @@ import heapq
 import sys
 import unicodedata
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +37,12 @@ WHITE_SPACE = (
     *range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
 )
 
-CACHE_PIECES = 150_000
+CACHE_PIECES = 150_000  # of each of the cache's two generations
 ENCODE_BYTES = 1 << 20  # of text at once: pieces are Python objects
-CACHED_BYTES = 64  # longer pieces are merged anew each time
+CACHED_CHARS = 64  # longer pieces are merged anew each time
 HEAP_BYTES = 48  # longer pieces are merged with a heap
+WIDTH_STEP = 4  # shorter ones are merged together with those of the same length, rounded up to this
+NEVER = 1 << 40  # in place of a rank
 
 
 def _step(state: int, kind: int) -> int:
@@ -153,31 +156,75 @@ class Vocabulary:
         for token, rank in self.ranks.items():
             self.tokens[rank] = token
         self.lengths = np.array([len(t) for t in self.tokens], np.int64)
-        self.cache = _Pieces(self)
-
-    def merge(self, piece: bytes) -> list[int]:
-        """Ids of a piece: the adjacent pair of lowest rank is joined first, of equal ones the leftmost."""
-        whole = self.ranks.get(piece)
-        if whole is not None:
-            return [whole]
-        return self._merge_long(piece) if len(piece) > HEAP_BYTES else self._merge_short(piece)
-
-    def _merge_short(self, piece: bytes) -> list[int]:
-        parts = [piece[i : i + 1] for i in range(len(piece))]
-        get = self.ranks.get
-        pairs = [get(a + b, 1 << 60) for a, b in zip(parts, parts[1:])]
-        while pairs:
-            best = min(pairs)
-            if best == 1 << 60:
-                break
-            i = pairs.index(best)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-            del pairs[i]
-            if i:
-                pairs[i - 1] = get(parts[i - 1] + parts[i], 1 << 60)
-            if i < len(pairs):
-                pairs[i] = get(parts[i] + parts[i + 1], 1 << 60)
-        return [self.ranks[p] for p in parts]
+        self.of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    @cached_property
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Every way to make a token of two: left id and right id in one number, ascending, and the token's rank."""
+        get, joined = self.ranks.get, {}
+        for token, rank in self.ranks.items():
+            for i in range(1, len(token)):
+                left, right = get(token[:i]), get(token[i:])
+                if left is not None and right is not None:
+                    joined[left * len(self.tokens) + right] = rank
+        keys = np.fromiter(joined, np.int64, len(joined))
+        order = np.argsort(keys)
+        ranks = np.fromiter(joined.values(), np.int64, len(joined))[order]
+        return np.append(keys[order], np.iinfo(np.int64).max), np.append(ranks, NEVER)
+
+    def pair_rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of the token that two ids make; NEVER if they make none or one is no id (negative)."""
+        keys, ranks = self.pairs
+        key = left * len(self.tokens) + right
+        at = np.searchsorted(keys, key)
+        return np.where((keys[at] == key) & (left >= 0) & (right >= 0), ranks[at], NEVER)
+
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
+        """Packed ids of each piece: the adjacent pair of lowest rank is joined first, of equal ones the leftmost."""
+        out: list[bytes] = [b""] * len(pieces)
+        by_width: dict[int, list[int]] = {}
+        for i, piece in enumerate(pieces):
+            whole = self.ranks.get(piece)
+            if whole is not None:
+                out[i] = whole.to_bytes(4, "little")
+            elif len(piece) > HEAP_BYTES:
+                out[i] = np.array(self._merge_long(piece), "<u4").tobytes()
+            else:
+                by_width.setdefault(-(-len(piece) // WIDTH_STEP) * WIDTH_STEP, []).append(i)
+        for width, rows in by_width.items():
+            self._merge_rows(pieces, np.array(rows), width, out)
+        return out
+
+    def _merge_rows(self, pieces: list[bytes], rows: np.ndarray, width: int, out: list[bytes]) -> None:
+        """Merge pieces of about one length side by side, a row each: one join per row and round."""
+        length = np.array([len(pieces[i]) for i in rows])
+        ids = np.full((len(rows), width), -1, np.int64)
+        ids[np.arange(width) < length[:, None]] = self.of_byte[np.frombuffer(b"".join(pieces[i] for i in rows), np.uint8)]
+        ranks = np.full((len(rows), width), NEVER, np.int64)
+        ranks[:, :-1] = self.pair_rank(ids[:, :-1], ids[:, 1:])
+        place = np.arange(width)
+        while len(rows):
+            at = ranks.argmin(1)
+            rank = ranks[np.arange(len(rows)), at]
+            done = rank == NEVER
+            if done.any():
+                packed = ids[done][ids[done] >= 0].astype("<u4").tobytes()
+                stop = np.cumsum(length[done]) * 4
+                for i, a, b in zip(rows[done].tolist(), (stop - length[done] * 4).tolist(), stop.tolist()):
+                    out[i] = packed[a:b]
+                rows, ids, ranks, length, at, rank = (x[~done] for x in (rows, ids, ranks, length, at, rank))
+            each = np.arange(len(rows))
+            source = np.minimum(place + (place > at[:, None]), width - 1)  # what follows the joined pair moves up
+            ids, ranks = np.take_along_axis(ids, source, 1), np.take_along_axis(ranks, source, 1)
+            ids[:, -1], ranks[:, -1] = -1, NEVER
+            ids[each, at] = rank
+            length = length - 1
+            after, before = np.minimum(at + 1, width - 1), np.maximum(at - 1, 0)
+            ranks[each, at] = np.where(after > at, self.pair_rank(rank, ids[each, after]), NEVER)
+            left = at > 0
+            ranks[each[left], before[left]] = self.pair_rank(ids[each, before], rank)[left]
 
     def _merge_long(self, piece: bytes) -> list[int]:
         n = len(piece)
@@ -208,6 +255,17 @@ class Vocabulary:
             i = end[i]
         return out
 
+    def known(self, pieces: set[str]) -> dict[str, bytes]:
+        """The cache, with at least these pieces in it.  Pieces that were not met since it was last full are forgotten."""
+        if len(self.recent) > CACHE_PIECES:
+            self.recent, self.older = {}, self.recent
+        missing = pieces.difference(self.recent)
+        found = missing.intersection(self.older)
+        self.recent.update((p, self.older[p]) for p in found)
+        new = list(missing - found)
+        self.recent.update(zip(new, self.merge([p.encode("utf-8") for p in new])))
+        return self.recent
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         lengths = np.array([len(t) for t in texts], np.int64)
@@ -215,34 +273,22 @@ class Vocabulary:
         points = np.frombuffer("\0".join([*texts, ""]).encode("utf-32-le"), np.uint32)
         starts = piece_starts(points, stops)
         bounds = np.searchsorted(starts, [0, *(stops + 1).tolist()]).tolist()
-        out = []
+        cut = []
         for i, text in enumerate(texts):
             own = (starts[bounds[i] : bounds[i + 1]] - (stops[i] - lengths[i])).tolist()
-            pieces = [text[a:b] for a, b in zip(own, [*own[1:], len(text)])]
-            out.append(b"".join(map(self.cache.__getitem__, pieces)))
+            cut.append([text[a:b] for a, b in zip(own, [*own[1:], len(text)])])
+        distinct = set().union(*cut)
+        known = self.known(distinct)
+        out = [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
+        for piece in distinct:
+            if len(piece) > CACHED_CHARS:
+                del known[piece]
         return out
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-class _Pieces(dict):
-    """Piece to packed ids; emptied when full, so that it stays bounded on any text."""
-
-    def __init__(self, vocabulary: Vocabulary):
-        super().__init__()
-        self.vocabulary = vocabulary
-
-    def __missing__(self, piece: str) -> bytes:
-        raw = piece.encode("utf-8")
-        packed = np.array(self.vocabulary.merge(raw), "<u4").tobytes()
-        if len(raw) <= CACHED_BYTES:
-            if len(self) >= CACHE_PIECES:
-                self.clear()
-            self[piece] = packed
-        return packed
-
-
 _vocabularies: dict[str, Vocabulary] = {}
 
 
