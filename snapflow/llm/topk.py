@@ -25,6 +25,7 @@ from .tables import written
 PIVOTS, ANNULI = 16, 16
 PART_ROWS = 16_384  # most vectors that one task compares at once
 QUERY_ROWS = 256  # queries packed into one row
+BLOCK_QUERIES = 100_000  # about so many queries at most meet a part of an annulus in one task
 FIRST_ANNULI = 8  # annuli of the first round
 NONE = np.iinfo(np.int64).min
 FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
@@ -47,10 +48,11 @@ class Geometry:
     pivots: np.ndarray
 
     def unpack(self, column) -> np.ndarray:
-        flat = [np.asarray(v, np.int64) for v in column.to_pylist()]
-        out = np.zeros((len(flat), self.dim), np.int64)
-        for i, v in enumerate(flat):
-            out[i, : len(v)] = v
+        """One row per vector of a list column without nulls, filled up with zeros."""
+        size = column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = column.flatten().to_numpy(zero_copy_only=False)
+        out = np.zeros((len(size), self.dim), np.int64)
+        out[np.arange(self.dim) < size[:, None]] = flat
         return out
 
     def products(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -127,16 +129,24 @@ def top_k(
     index = placed.select("annulus", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), "id", "v", "query")
     index = written(index, "pivot_index")
     known = annuli.orderBy("annulus").toPandas()
+    blocks = index.where("query").count() // BLOCK_QUERIES + 1
     spans = known[["pivot", "low", "high"]].to_numpy(np.float64)
     numbers, parts = known["annulus"].to_numpy(), known["parts"].to_numpy()
 
+    def packs_of(batch):
+        """The queries of each block, a bounded number at once."""
+        block = batch.column("block").to_numpy()
+        for b in np.unique(block).tolist():
+            rows = np.flatnonzero(block == b)
+            for at in range(0, len(rows), QUERY_ROWS):
+                yield b, batch.take(pa.array(rows[at : at + QUERY_ROWS]))
+
     def visits(queries: DataFrame, first: bool) -> DataFrame:
         """A row for every part of an annulus that a pack of queries has to meet in this round."""
 
         def run(batches):
             for batch in batches:
-                for at in range(0, batch.num_rows, QUERY_ROWS):
-                    own = batch.slice(at, QUERY_ROWS)
+                for block, own in packs_of(batch):
                     q = geometry.unpack(own.column("v"))
                     bound = _bounds(geometry, q, spans)
                     ids, least = own.column("id").to_numpy(), own.column("least").to_numpy()
@@ -144,16 +154,17 @@ def top_k(
                     place = np.empty_like(order)
                     np.put_along_axis(place, order, np.arange(len(spans))[None, :].repeat(len(q), 0), 1)
                     meets = (place < FIRST_ANNULI) if first else (place >= FIRST_ANNULI) & (bound >= least[:, None])
-                    out = {c: [] for c in ("annulus", "part", "ids", "vectors", "least")}
+                    out = {c: [] for c in VISIT.names}
                     for a in np.flatnonzero(meets.any(0)):
                         hit = meets[:, a]
                         packed = ids[hit].tobytes(), q[hit].tobytes(), least[hit].tobytes()
                         for p in range(parts[a]):
-                            for c, x in zip(out, (int(numbers[a]), p, *packed)):
+                            for c, x in zip(out, (int(numbers[a]), p, block, *packed)):
                                 out[c].append(x)
                     yield pa.RecordBatch.from_pydict(out, schema=VISIT)
 
-        return queries.mapInArrow(run, "annulus int, part int, ids binary, vectors binary, least binary")
+        queries = queries.select("*", F.pmod(F.xxhash64("id"), F.lit(blocks).cast("long")).alias("block"))
+        return queries.mapInArrow(run, "annulus int, part int, block bigint, ids binary, vectors binary, least binary")
 
     def compare(rows: pa.Table, packs: pa.Table) -> pa.Table:
         out = {c: [] for c in FOUND.names}
@@ -172,9 +183,10 @@ def top_k(
         return pa.table({c: pa.array(np.concatenate(x) if x else [], pa.int64()) for c, x in out.items()})
 
     def meet(queries: DataFrame, first: bool) -> DataFrame:
-        asked = visits(queries, first).groupBy("annulus", "part")
-        rows = index.select("annulus", "part", "id", "v").groupBy("annulus", "part")
-        return rows.cogroup(asked).applyInArrow(compare, "query_id bigint, vec_id bigint, score bigint")
+        keys = ["annulus", "part", "block"]
+        asked = visits(queries, first).groupBy(*keys)
+        rows = index.select("annulus", "part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"), "id", "v")
+        return rows.groupBy(*keys).cogroup(asked).applyInArrow(compare, "query_id bigint, vec_id bigint, score bigint")
 
     queries = index.where("query").select("id", "v")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
@@ -188,5 +200,5 @@ def top_k(
 
 
 VISIT = pa.schema([
-    ("annulus", pa.int32()), ("part", pa.int32()), ("ids", pa.binary()), ("vectors", pa.binary()), ("least", pa.binary()),
+    ("annulus", pa.int32()), ("part", pa.int32()), ("block", pa.int64()), ("ids", pa.binary()), ("vectors", pa.binary()), ("least", pa.binary()),
 ])

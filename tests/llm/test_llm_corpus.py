@@ -127,6 +127,7 @@ def test_top_k_matches_plain_version(spark, monkeypatch, k):
     monkeypatch.setattr(topk, "PIVOTS", 4)
     monkeypatch.setattr(topk, "ANNULI", 3)
     monkeypatch.setattr(topk, "FIRST_ANNULI", 2)
+    monkeypatch.setattr(topk, "BLOCK_QUERIES", 9)  # several blocks
     pick = random.Random(4)
     rows = [(i, [pick.choice([-1.0, -0.5, 0.0, 0.26, 0.7]) for _ in range(5)]) for i in range(300)]
     rows += [(1000 + i, [0.5] * 5) for i in range(150)]  # one common vector, many ties
