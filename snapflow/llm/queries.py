@@ -99,6 +99,21 @@ def op5_substring_dedup(spark, sf_dir):
     return cleaned.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+ORACLES["op5_substring_dedup"] = r"""
+WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM texts),
+windows AS (SELECT doc_id, i, sha256(array_to_string(w[i:i + 12], ' ')) AS words FROM starts),
+firsts AS (SELECT words, min(doc_id) AS first_id FROM windows GROUP BY words HAVING min(doc_id) < max(doc_id)),
+covered AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM windows JOIN firsts USING (words) WHERE first_id < doc_id),
+gone AS (SELECT doc_id, list(i) AS places, count(*) AS n FROM covered GROUP BY doc_id)
+SELECT t.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
+       sha256(array_to_string(CASE WHEN n IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(places, i)) END, ' '))
+         AS kept_sha256
+FROM texts t LEFT JOIN gone USING (doc_id)
+"""
+
+
 @query
 def op6_byte_bpe(spark, sf_dir):
     coded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), VOCABULARY).drop("text")
@@ -140,6 +155,26 @@ def op9_jaccard_join(spark, sf_dir):
     return jaccard_join.similar_components(table(spark, sf_dir, "documents"))
 
 
+ORACLES["op9_jaccard_join"] = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, sha256(array_to_string(w[i:i + 4], ' ')) AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM texts WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common o JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * o.n >= 80 * (x.n + y.n - o.n)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM reached r JOIN both_ways l ON l.a = r.other)
+SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
+FROM documents d JOIN reached r USING (doc_id) LEFT JOIN sizes USING (doc_id) GROUP BY d.doc_id
+"""
+
+
 @query
 def op10_quality_gam(spark, sf_dir):
     scored = quality_gam.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
