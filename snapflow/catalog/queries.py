@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer
@@ -22,7 +23,7 @@ from ..operators.standardize import deduplicate, identified, rename_aliases, sta
 from ..plans import learn
 from ..plans.score import score_table
 from ..plans.training_frame import build_training_frame
-from ..schemas import DATE_COLUMN, LABEL_COLUMN, NUMERIC_FEATURES, PREDICTION_SCHEMA
+from ..schemas import ALIASES, DATE_COLUMN, LABEL_COLUMN, NUMERIC_FEATURES, OPTIONAL_DEFAULTS, PREDICTION_SCHEMA
 from ..sources.metrics import read_metrics, write_model_metrics
 from ..sources.models import load_model, save_model
 from ..sources.pages import cap_results, flatten_pages
@@ -124,6 +125,22 @@ def standardize_(spark, sf_dir):
     return _standardized(spark, sf_dir).select(*STANDARD_COLUMNS)
 
 
+@query
+def default_dedup(spark, sf_dir):
+    """The choice that the jobs make; of rows with the same counts any may stay."""
+    chosen = standardize(inputs.snapshots(spark, sf_dir))
+    return chosen.select("video_id", "country", DATE_COLUMN, "view_count", "likes", "comment_count")
+
+
+@query
+def optional_defaults(spark, sf_dir):
+    """Snapshots without any of the optional columns."""
+    raw = inputs.snapshots(spark, sf_dir)
+    absent = [s for name in OPTIONAL_DEFAULTS for s in ALIASES[name]]
+    typed = type_columns(rename_aliases(raw.drop(*absent)))
+    return typed.select("event_id", "video_id", *OPTIONAL_DEFAULTS, "view_count")
+
+
 @query
 def sane_snapshots(spark, sf_dir):
     return sane_counts(_standardized(spark, sf_dir)).select(*STANDARD_COLUMNS)
@@ -614,6 +631,20 @@ def stream_features(spark, sf_dir):
     return rounded(_landed(spark, rows.select(*STREAM_FEATURES), "stream-features"), 6, *logs)
 
 
+@query
+def stream_batch_time(spark, sf_dir):
+    """Without a time of the message's own, all rows of a micro-batch carry the batch's time."""
+    began = datetime.now(timezone.utc)
+    sent = inputs.messages(inputs.stream_of(spark, sf_dir, "events"))
+    rows = _landed(spark, live_features(sent).select("video_id", "snapshot_time"), "stream-batch-time")
+    seen = F.col("snapshot_time")
+    # the file stream takes one table, so there is one batch
+    return rows.agg(
+        F.count("*").alias("valid_rows"), F.count_distinct(seen).alias("batch_times"),
+        F.coalesce(F.min(seen) >= F.lit(began), F.lit(True)).alias("after_start"),
+    )
+
+
 def _sized_session(spark: SparkSession) -> SparkSession:
     """A stateful stream keeps the number of partitions it starts with; size it to the cluster."""
     session = spark.newSession()
