@@ -5,8 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer
+from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -319,24 +318,22 @@ def metrics_roundtrip(spark, sf_dir):
 @query
 def category_index(spark, sf_dir):
     events = table(spark, sf_dir, "events").select((F.col("user_id") % 15).cast("string").alias("category"))
-    index = StringIndexer(inputCol="category", outputCol="category_idx", handleInvalid="keep").fit(events)
-    return index.transform(events.groupBy("category").agg(F.count("*").alias("n")))
+    prepared = learn.preprocessing(["n"], ["category"]).fit(events)
+    counts = events.groupBy("category").agg(F.count("*").alias("n"))
+    return prepared.transform(counts).select("category", "n", "category_idx")
 
 
 @query
 def one_hot_slots(spark, sf_dir):
     """Categories of the events; ``error`` is kept out of the fit, so it lands in the extra slot."""
     events = table(spark, sf_dir, "events").select("event_type")
-    encoder = Pipeline(
-        stages=[
-            StringIndexer(inputCol="event_type", outputCol="idx", handleInvalid="keep"),
-            OneHotEncoder(inputCol="idx", outputCol="vec", handleInvalid="keep"),
-        ]
-    ).fit(events.filter(F.col("event_type") != "error"))
-    slots = vector_to_array("vec")
-    return encoder.transform(events.groupBy("event_type").agg(F.count("*").alias("n"))).select(
-        "event_type", "n", "idx", F.size(slots).alias("slots"), (F.array_position(slots, 1.0) - 1).alias("slot")
-    )
+    prepared = learn.preprocessing(["n"], ["event_type"]).fit(events.filter(F.col("event_type") != "error"))
+    counts = events.groupBy("event_type").agg(F.count("*").alias("n"))
+    slots = vector_to_array("event_type_vec")
+    return prepared.transform(counts).select(
+        "event_type", "n", F.col("event_type_idx").alias("idx"), F.size(slots).alias("slots"),
+        (F.array_position(slots, 1.0) - 1).alias("slot"),
+    )
 
 
 # ---------------------------------------------------------------- training
