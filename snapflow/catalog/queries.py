@@ -373,8 +373,7 @@ def train_rf(spark, sf_dir):
 
 @query
 def train_rf_tuned(spark, sf_dir):
-    grid = {"numTrees": [20, 40], "maxDepth": [6, 8]}
-    return _scores_of(spark, _trained(spark, sf_dir, learn.random_forest_tuned(20, 6, grid)))
+    return _scores_of(spark, _trained(spark, sf_dir, learn.random_forest_tuned()))
 
 
 @query

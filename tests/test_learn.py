@@ -67,6 +67,16 @@ def test_forest_grid(spark):
     assert len(learn.random_forest_tuned().grid) == 36
 
 
+def test_tuned_query_searches_the_whole_grid(spark, sf_dir, monkeypatch):
+    from snapflow.catalog import queries
+
+    tried = []
+    monkeypatch.setattr(queries, "_trained", lambda spark, sf_dir, *tries, **options: tried.extend(tries))
+    monkeypatch.setattr(queries, "_scores_of", lambda spark, run: None)
+    queries.train_rf_tuned(spark, sf_dir)
+    assert [learn._settings(c) for c in tried] == [learn._settings(learn.random_forest_tuned())]
+
+
 @pytest.fixture(scope="module")
 def run(episodes, tmp_path_factory):
     base = str(tmp_path_factory.mktemp("models"))
