@@ -195,6 +195,44 @@ def test_quotes_are_linked_and_cut(spark):
     assert chat.format_conversations(spark.createDataFrame([], CHAT)).count() == 0
 
 
+def parents(spark, texts):
+    rows = [(1, i, "user", t, "") for i, t in enumerate(texts)]
+    return [r.parent_turn for r in chat.format_conversations(spark.createDataFrame(rows, CHAT)).orderBy("turn").collect()]
+
+
+def test_quoted_lines_and_sentences_are_linked(spark):
+    assert parents(spark, ["a b c\nd e f", "> a b c\nyes\n> d e f\nno", "> yes\n> no\nwhy"]) == [None, 0, 1]
+    assert parents(spark, ["a b c\nd e f\ng h i", "> D e  f\nthis line"]) == [None, 0]
+    long = "First thing\nhere. Second thing there! A third?"
+    assert parents(spark, [long, "x", "> Second thing there!\nok", "> First thing here.\n> [...]\n> A third?\nok"]) == [None, None, 0, 0]
+    # the longest run decides, wherever its lines are broken, and not a greeting that came before
+    texts = ["Hello.\nA word", "Hello. We ship on\nMonday. Bye.", "> Hello. We ship\n> on Monday.\nfine"]
+    assert parents(spark, texts) == [None, None, 1]
+    # least nested first; nothing but marks or later texts is no original
+    assert parents(spark, ["p q\nr s", "t u\nv w", ">> p q\n> v w\nx"]) == [None, None, 1]
+    assert parents(spark, ["...\nm n", "> ...\n> o o\nx", "> later on\nx", "later on\nand on"]) == [None, None, None, None]
+
+
+def test_quoted_runs_match_plain_version(spark, monkeypatch):
+    monkeypatch.setattr(chat, "RUN_ROWS", 7)
+    pick, texts = random.Random(11), []
+    for i in range(60):
+        lines = [pick.choice(["a", "b", "c", "d"]) + pick.choice(["x", "y."]) for _ in range(pick.randrange(1, 7))]
+        texts.append("\n".join(f"> {x}" for x in lines) + f"\nown{i}" if i % 2 else "\n".join([*lines, f"end{i}"]))
+    expected = []
+    for i, text in enumerate(texts):
+        quote = [x[2:] for x in text.split("\n") if x.startswith("> ")]
+        runs = [quote[a:b] for a in range(len(quote)) for b in range(a + 1, len(quote) + 1)]
+        best = None
+        for run in runs:
+            wrote = [j for j in range(i) if not j % 2 and f"\n{'\n'.join(run)}\n" in f"\n{texts[j]}\n"]
+            if wrote:
+                best = max(best or (0, 0), (len(" ".join(run)), wrote[0]))
+        expected.append(best and best[1])
+    assert sum(x is not None for x in expected) > 20
+    assert parents(spark, texts) == expected
+
+
 def test_long_reply_chain(spark):
     rows = [(1, i, "user", (f"> text {i - 1}\n" if i else "") + f"text {i}", "") for i in range(30)]
     found = chat.format_conversations(spark.createDataFrame(rows, CHAT)).collect()
