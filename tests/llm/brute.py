@@ -2,9 +2,11 @@
 
 import base64
 import collections
+import fractions
 import hashlib
 import math
 import re
+import string
 
 import numpy as np
 import public_tokenizers
@@ -123,3 +125,37 @@ def majority_counts(spans, cuts, stop):
         overlap = [max(0, min(b, edges[k + 1]) - max(a, edges[k])) for k in range(len(cuts))]
         out[overlap.index(max(overlap))] += 1
     return out.tolist()
+
+
+def rule_ratios(text):
+    """The ratios of the six rules in the order of quality_rules.default_rules()."""
+    n, chars, symbols, again, repeats = text_counts(text)
+    lines = sum(bool(WORD.search(x)) for x in (text or "").split("\n"))
+    upper, bangs = (sum(c in kind for c in text or "") for kind in (string.ascii_uppercase, "!"))
+    parts = [(symbols, n), (repeats, n), (again, lines), (upper, chars), (bangs, n), (chars, n)]
+    return [a / max(b, 1) for a, b in parts]
+
+
+def rules_kept(rows, quality, lists, limit=fractions.Fraction(1, 100), error=fractions.Fraction(1, 20)):
+    """ids of (id, lang, text) rows that pass the base rules and the cutoffs certified by exact tails; and those cutoffs."""
+    passed = {}
+    for d, lang, text in rows:
+        n, _, _, _, repeats = text_counts(text)
+        if n >= 50 and 100 * repeats <= 50 * n:
+            passed[d] = lang, rule_ratios(text)
+    strata = {lang for d, (lang, _) in passed.items() if d in quality}
+    chosen = {}
+    for lang in strata:
+        good, bad = ([r for d, (x, r) in passed.items() if x == lang and quality.get(d) == q] for q in (1, 0))
+        for i, cutoffs in enumerate(lists):
+            most = 0
+            for cutoff in cutoffs:
+                n, k = len(good), sum(r[i] > cutoff for r in good)
+                tail = sum(math.comb(n, j) * limit**j * (1 - limit) ** (n - j) for j in range(k + 1)) if k <= limit * n else 1
+                if not n or tail > error / (len(strata) * len(lists)):
+                    break
+                caught = sum(r[i] > cutoff for r in bad)
+                if caught > most:
+                    chosen[lang, i], most = cutoff, caught
+    kept = {d for d, (lang, r) in passed.items() if not any(x > chosen.get((lang, i), math.inf) for i, x in enumerate(r))}
+    return kept, chosen

@@ -8,7 +8,7 @@ import corpus_pipeline
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from snapflow.llm import chat, components, jaccard_join, mixing, shared_names, substring_dedup, topk
+from snapflow.llm import chat, components, jaccard_join, mixing, quality_rules, shared_names, substring_dedup, topk
 from snapflow.llm.queries import QUERIES
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, kept string"
@@ -274,3 +274,44 @@ def test_pipeline_stages(spark, sf_dir):
 
 def test_pipeline_runs(spark, sf_dir):
     assert 100 < corpus_pipeline.run(spark, sf_dir).count() < 400
+
+
+def plain_rules(spark, base):
+    quality = {}
+    for r in spark.read.parquet(f"{base}/labels.parquet").select("doc_id", "quality").collect():
+        if r.doc_id is not None and r.quality in (0, 1):
+            quality[r.doc_id] = min(r.quality, quality.get(r.doc_id, 1))
+    rows = spark.read.parquet(f"{base}/documents.parquet").select("doc_id", "lang", "text").collect()
+    return brute.rules_kept([tuple(r) for r in rows], quality, [r.cutoffs for r in quality_rules.default_rules()])
+
+
+def test_kept_matches_exact_tails(spark):
+    base = "/root/testdata/sf0.1"
+    expected, chosen = plain_rules(spark, base)
+    assert chosen  # some rule is certified at this size
+    rows = QUERIES["op8_quality_rules"](spark, base).select("doc_id", "kept").collect()
+    assert {r.doc_id for r in rows if r.kept} == expected
+
+
+def test_pipeline_matches_plain_versions(spark, sf_dir):
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    kept, _ = plain_rules(spark, sf_dir)
+    groups = brute.jaccard_components([(d, docs[d].text) for d in kept])
+    left = [(d, docs[d].text) for d in kept if groups[d][1] == d]
+    assert len(left) < len(kept) < len(docs)
+    cut = {d: (n, gone, rest) for d, (n, gone, rest) in brute.substring_dedup(left).items() if not gone or gone < n}
+    assert any(gone for _, gone, _ in cut.values())
+    texts = {d: rest if gone else docs[d].text or "" for d, (_, gone, rest) in cut.items()}
+    amounts = {}
+    for d, text in texts.items():
+        amounts[docs[d].source] = amounts.get(docs[d].source, 0) + len(text)
+    total, roots = sum(amounts.values()), sum(a**0.5 for a in amounts.values() if a)
+    expected, plain = [], brute.tokenizer()
+    for d, text in texts.items():
+        amount = amounts[docs[d].source]
+        copies = brute.poisson_copies(amount**0.5 / roots * total / amount, brute.unit(corpus_pipeline.SEED, d)) if amount else 0
+        ids = plain.encode_ordinary(text)
+        ends = np.cumsum([len(plain.decode_single_token_bytes(i)) for i in ids])
+        expected += [(d, docs[d].source, len(ids), np.array(ids, "<u4").tobytes(), ends.astype("<u4").tobytes())] * copies
+    found = [(r.doc_id, r.source, r.n_tokens, bytes(r.ids), bytes(r.token_ends)) for r in corpus_pipeline.run(spark, sf_dir).collect()]
+    assert sorted(found) == sorted(expected)
