@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, jaccard_join, mixing, quality_gam, quality_rules, substring_dedup, token_counts, topk, url_filter
+from . import bpe, chat, jaccard_join, mixing, periodic_runs, quality_gam, quality_rules, substring_dedup, token_counts, topk, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -179,3 +179,28 @@ FROM documents d JOIN reached r USING (doc_id) LEFT JOIN sizes USING (doc_id) GR
 def op10_quality_gam(spark, sf_dir):
     scored = quality_gam.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def with_cycles(docs: DataFrame) -> DataFrame:
+    """doc_id and text; in a tenth of the documents, by the checksum of the id, the words from some place on are a cycle of theirs."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    cut = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g"))
+    words = F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    cut = cut.withColumn("words", words).withColumn("n", F.size("words"))
+    cut = cut.withColumn("a", F.expr("CASE WHEN n > 0 THEN g % n END"))
+    cut = cut.withColumn("p", F.expr("CASE WHEN n > 0 THEN 1 + (n - a) DIV (3 + g % 8) END"))
+    cycled = F.expr("array_join(transform(sequence(0L, n - 1L), i -> get(words, int(CASE WHEN i < a THEN i ELSE a + (i - a) % p END))), ' ')")
+    return cut.select("doc_id", F.when(F.col("n") > 0, cycled).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_periodic_runs(spark, sf_dir):
+    found = periodic_runs.find_runs(with_cycles(table(spark, sf_dir, "documents")), min_length=24)
+    found = found.withColumn("best", periodic_runs.strongest(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("(1000 * best.length) DIV best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )

@@ -7,6 +7,7 @@ import hashlib
 import math
 import re
 import string
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -159,3 +160,34 @@ def rules_kept(rows, quality, lists, limit=fractions.Fraction(1, 100), error=fra
                     chosen[lang, i], most = cutoff, caught
     kept = {d for d, (lang, r) in passed.items() if not any(x > chosen.get((lang, i), math.inf) for i, x in enumerate(r))}
     return kept, chosen
+
+
+def periodic_runs(words, min_length=24):
+    """(start, length, period) of the runs of three periods or more, by start and period."""
+    n, found = len(words), {}
+    for p in range(1, n // 3 + 1):
+        i = 0
+        while i < n - p:
+            start = i
+            while i < n - p and words[i] == words[i + p]:
+                i += 1
+            if i - start + p >= max(min_length, 3 * p):
+                found.setdefault((start, i - start + p), p)
+            i += 1
+    return sorted((a, length, p) for (a, length), p in found.items())
+
+
+def collapsed(words, runs):
+    gone = {i for a, length, p in runs for i in range(a + p, a + length)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def cycled(doc_id, text):
+    """The words of a document of op11."""
+    w, h = words(text), zlib.crc32(str(doc_id).encode())
+    g, n = h // 10, len(w)
+    if h % 10 or not n:
+        return w
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
