@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, jaccard_join, mixing, periodic_runs, quality_gam, quality_rules, substring_dedup, token_counts, topk, url_filter
+from . import (
+    bpe, chat, jaccard_join, metric_join, mixing, periodic_runs, quality_gam, quality_rules, substring_dedup, token_counts, topk, url_filter, whitening,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -204,3 +206,28 @@ def op11_periodic_runs(spark, sf_dir):
         F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op12_embedding_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), factor=256, components=4)
+
+
+@query
+def op13_embedding_near_dedup(spark, sf_dir):
+    return metric_join.near_duplicates(table(spark, sf_dir, "embeddings"), similarity=0.95)
+
+
+ORACLES["op13_embedding_near_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+reached(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, l.b FROM reached r JOIN links l ON l.a = r.other),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT r.vec_id, coalesce(any_value(n), 0) AS n_links, min(other) AS component_id, r.vec_id = min(other) AS kept
+FROM reached r LEFT JOIN counts USING (vec_id) GROUP BY r.vec_id
+"""

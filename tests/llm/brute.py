@@ -191,3 +191,54 @@ def cycled(doc_id, text):
     a = g % n
     p = 1 + (n - a) // (3 + g % 8)
     return [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+
+
+def near_vectors(rows, similarity=0.95):
+    """For each (id, vector) row, in order: number of links, component, kept."""
+
+    def whole(v):
+        if v is None or not v or any(x is None or not math.isfinite(x) for x in v) or not any(v):
+            return None
+        v = np.array(v, np.longdouble)
+        return v / np.abs(v).max()
+
+    def cosine(a, b):
+        n = min(len(a), len(b))
+        return float((a[:n] * b[:n]).sum() / np.sqrt((a * a).sum() * (b * b).sum()))
+
+    units = [None if i is None else whole(v) for i, v in rows]
+    parent, links = list(range(len(rows))), [0] * len(rows)
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, a in enumerate(units):
+        for j in range(i):
+            b = units[j]
+            if a is not None and b is not None and cosine(a, b) >= similarity:
+                links[i], links[j] = links[i] + 1, links[j] + 1
+                parent[root(i)] = root(j)
+    least = {}
+    for i, (own, _) in enumerate(rows):
+        if own is not None:
+            least[root(i)] = min(least.get(root(i), own), own)
+    return [(own, links[i], least.get(root(i)), own is not None and own == least[root(i)]) for i, (own, _) in enumerate(rows)]
+
+
+def whitened(rows, factor=256, components=4):
+    """n, and for each remaining (id, vector) row, in order: deviation and whitened coordinates (up to sign); explained."""
+    left = [(i, [math.floor(factor * c) for c in v]) for i, v in rows if v is not None and all(c is not None and math.isfinite(c) for c in v)]
+    dim = max(len(x) for _, x in left)
+    left = [(i, x + [0] * (dim - len(x))) for i, x in left]
+    fit = sorted({tuple(x) for _, x in left})
+    n, sums = len(fit), [sum(c) for c in zip(*fit)]
+    centred = np.array([[float(fractions.Fraction(n * c - s, n)) for c, s in zip(x, sums)] for x in fit])
+    values, vectors = np.linalg.eigh(centred.T @ centred / n)
+    values, vectors = values[::-1][:components], vectors[:, ::-1][:, :components]
+    out = []
+    for i, x in left:
+        y = np.array([float(fractions.Fraction(n * c - s, n)) for c, s in zip(x, sums)])
+        out.append((i, sum((n * c - s) ** 2 for c, s in zip(x, sums)), y @ vectors / np.sqrt(values)))
+    return n, out, values / (centred**2).sum() * n
