@@ -19,20 +19,33 @@ DATE_FORMATS: tuple[str, ...] = ("yyyy.MM.dd", "yyyy-MM-dd", "yy.dd.MM", "MM/dd/
 PUBLISH_FORMAT = "yyyy-MM-dd'T'HH:mm:ssX"
 DETAILED_PUBLISH_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]XXX"
 
-PLAIN_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 WHITESPACE = " \t\n\r\f\v"
 
 
-def clean_number(df: DataFrame, name: str) -> Column:
-    """Double value of column ``name``; thousands separators are dropped from text.  What is not a finite plain number is null."""
+def read_number(df: DataFrame, name: str) -> Column:
+    """Double value of column ``name``; thousands separators are dropped from text.  What is not a plain number is null.
+
+    Spark's cast also takes words such as ``NaN`` and ``Infinity``, Java's suffixes (``5d``) and hexadecimal texts.  None of
+    them starts and ends like a plain number and has no x, so three looks at the text replace a pattern.
+    What is too large for a double is infinite; :func:`finite` turns it to null.
+    """
     if isinstance(df.schema[name].dataType, T.NumericType):
-        number = F.col(name).cast("double")
-    else:
-        digits = F.trim(F.replace(F.col(name).cast("string"), F.lit(","), F.lit("")))
-        number = F.when(digits.rlike(PLAIN_NUMBER), digits).try_cast("double")
+        return F.col(name).cast("double")
+    digits = F.trim(F.replace(F.col(name).cast("string"), F.lit(","), F.lit("")))
+    plain = F.substring(digits, 1, 1).between("+", "9") & F.substring(digits, -1, 1).between(".", "9")
+    return F.when(plain & ~F.contains(F.lower(digits), F.lit("x")), digits.try_cast("double"))
+
+
+def finite(number: Column) -> Column:
+    """The number, or null if it is infinite or not a number.  Refers to it twice: give it a column that is made already."""
     return F.when(F.abs(number) < float("inf"), number)
 
 
+def clean_number(df: DataFrame, name: str) -> Column:
+    """:func:`read_number` and :func:`finite` in one expression, for a column that is a number already or is read once."""
+    return finite(read_number(df, name))
+
+
 def text_or_default(value: Column, default: str = "") -> Column:
     return F.coalesce(value.cast("string"), F.lit(default))
 

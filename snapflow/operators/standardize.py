@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ..functions.parse import as_timestamp, clean_number, parse_date, with_parsed_columns
+from ..functions.parse import as_timestamp, finite, parse_date, read_number, with_parsed_columns
 from ..schemas import ALIASES, COUNT_COLUMNS, DATE_COLUMN, ITEM_KEYS, OPTIONAL_DEFAULTS, REQUIRED_COLUMNS
 
 SNAPSHOT_KEYS: tuple[str, ...] = (*ITEM_KEYS, DATE_COLUMN)
@@ -50,12 +50,13 @@ def type_columns(df: DataFrame) -> DataFrame:
         return isinstance(df.schema[name].dataType, T.StringType)
 
     trending = F.col("trending_date")
-    made = {name: (name, clean_number(df, name)) for name in COUNT_COLUMNS}
+    made = {name: (name, read_number(df, name)) for name in COUNT_COLUMNS}
     made["publish_timestamp"] = "publish_date", as_timestamp(df, "publish_date")
     made[DATE_COLUMN] = "trending_date", parse_date(trending) if is_text("trending_date") else trending.cast("date")
     parsed = {name: value for name, (source, value) in made.items() if is_text(source)}
     typed = {name: value for name, (source, value) in made.items() if not is_text(source)}
-    return (with_parsed_columns(df, parsed) if parsed else df).withColumns(typed)
+    read = (with_parsed_columns(df, parsed) if parsed else df).withColumns(typed)
+    return read.withColumns({name: finite(F.col(name)) for name in COUNT_COLUMNS})
 
 
 def identified(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import logging
 import math
 import time
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import date
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
@@ -20,21 +20,24 @@ from pyspark.storagelevel import StorageLevel
 
 from ..functions.features import add_shared_features, back_transform
 from ..operators.evaluate import best_model, constant_baseline, regression_metrics
+from ..operators.quality import require_rows
 from ..operators.split import DEFAULT_CUTOFF, temporal_split, training_projection
 from ..schemas import (
     CATEGORICAL_FEATURES, DATE_COLUMN, LABEL_COLUMN, MEAN_BASELINE, METRICS_SCHEMA, NUMERIC_FEATURES, TARGET_COLUMN,
 )
 from ..sources.metrics import read_metrics, write_model_metrics
 from ..sources.models import load_model, model_path, save_model
+from .search import FOLD, Ledger, Search, fold_of, search_forest
 
 logger = logging.getLogger(__name__)
 
 RAW_PREDICTION = "raw_prediction"
-SEED = 42
 FOLDS = 3
 ROWS_PER_TASK = 250_000
+LEAST_ROWS_PER_TASK = 5_000  # tree fitting sends statistics of every node and task, so small tables are not cut small
 
-# --- fixed values: settings of the candidates ---
+# --- fixed values: settings of the candidates, and below the grid of the tuned forest ---
+SEED = 42
 LINEAR_SETTINGS = {"maxIter": 80, "regParam": 0.05}
 BOOSTING_SETTINGS = {"maxIter": 60, "maxDepth": 6, "seed": SEED}
 DEFAULT_TREES = 100
@@ -73,6 +76,7 @@ def random_forest(trees: int = DEFAULT_TREES, depth: int = DEFAULT_DEPTH) -> Can
     return Candidate("random_forest", _forest(trees, depth))
 
 
+# --- fixed values: the grid ---
 def forest_grid(trees: int, depth: int) -> dict[str, list[int]]:
     """Values tried: ``trees`` and 20 more or less (but 20 at least), ``depth`` and 2 more or less (but 4 at least)."""
     return {
@@ -126,13 +130,12 @@ def preprocessing(
     All categories are counted in one pass.  Values not seen in training, and nulls, get a slot of their own.
     """
     indexed, encoded = [f"{c}_idx" for c in categorical], [f"{c}_vec" for c in categorical]
-    return Pipeline(
-        stages=[
-            StringIndexer(inputCols=[*categorical], outputCols=indexed, handleInvalid="keep"),
-            OneHotEncoder(inputCols=indexed, outputCols=encoded, handleInvalid="keep"),
-            VectorAssembler(inputCols=[*numeric, *encoded], outputCol="features", handleInvalid="keep"),
-        ]
-    )
+    categories = [
+        StringIndexer(inputCols=[*categorical], outputCols=indexed, handleInvalid="keep"),
+        OneHotEncoder(inputCols=indexed, outputCols=encoded, handleInvalid="keep"),
+    ]
+    assembler = VectorAssembler(inputCols=[*numeric, *encoded], outputCol="features", handleInvalid="keep")
+    return Pipeline(stages=[*(categories if categorical else []), assembler])
 
 
 def feature_importance(model: PipelineModel, transformed: DataFrame, top: int | None = None) -> DataFrame:
@@ -177,6 +180,10 @@ class TrainingRun:
     failures: list[dict] = field(default_factory=list)
     resumed: list[str] = field(default_factory=list)
     runtime_seconds: float = 0.0
+    numeric: Sequence[str] = NUMERIC_FEATURES
+    categorical: Sequence[str] = CATEGORICAL_FEATURES
+    searches: dict[str, Search] = field(default_factory=dict)
+    saved_model_dir: str | None = None
 
     def summary(self) -> DataFrame:
         """One row about the whole run, ready for :func:`snapflow.sources.write_metrics`."""
@@ -188,36 +195,46 @@ class TrainingRun:
             " model_comparison array<struct<model_name: string, rmse: double, mae: double, r2: double,"
             " model_family: string>>,"
             " feature_importance array<struct<feature: string, importance: double>>,"
-            " training_failures array<struct<model_name: string, error: string>>, runtime_seconds double"
+            " training_failures array<struct<model_name: string, error: string>>, runtime_seconds double,"
+            " saved_model_dir string"
         )
         row = {
             **self.best_row,
             "best_overall_model": self.best_name,
             "train_rows": self.train_rows,
             "test_rows": self.test_rows,
-            "feature_columns": list(NUMERIC_FEATURES),
-            "categorical_columns": list(CATEGORICAL_FEATURES),
+            "feature_columns": list(self.numeric),
+            "categorical_columns": list(self.categorical),
             "model_comparison": self.scores,
             "feature_importance": [r.asDict() for r in self.importance.collect()],  # one row per feature
             "training_failures": self.failures,
             "runtime_seconds": self.runtime_seconds,
+            "saved_model_dir": self.saved_model_dir,
         }
         return spark.createDataFrame([row], ddl)
 
+    def search_points(self) -> DataFrame:
+        """Every point that was searched: model, settings, mean error on the log target over the folds, and whether it won."""
+        rows = [
+            (name, point.settings, point.rmse, point.folds, point == search.best())
+            for name, search in self.searches.items() for point in search.points
+        ]
+        ddl = "model_name string, settings map<string, int>, rmse double, folds int, chosen boolean"
+        return self.importance.sparkSession.createDataFrame(rows, ddl)
 
-def _featured(df: DataFrame) -> DataFrame:
+
+def _featured(df: DataFrame, needed: Sequence[str]) -> DataFrame:
     """Training columns of an episode table; features are derived only if the table lacks any."""
     if not set(NUMERIC_FEATURES) <= set(df.columns):
         df = add_shared_features(df, snapshot_ts_col=DATE_COLUMN)
-    return training_projection(df)
+    return df.select(*dict.fromkeys([*training_projection(df).columns, *needed]))
 
 
 def _check_rows(train: DataFrame, test: DataFrame) -> tuple[int, int]:
     """Number of training and test rows; fails if there are none."""
-    rows = train.count(), test.count()
-    if 0 in rows:
-        raise ValueError(f"A cutoff needs rows on both sides; this one has {rows[0]} before and {rows[1]} after it")
-    return rows
+    for side, rows in (("before", train), ("after", test)):
+        require_rows(rows, f"A cutoff needs rows on both sides; this one has none {side} it")
+    return train.count(), test.count()
 
 
 def _settings(candidate: Candidate) -> str:
@@ -229,33 +246,76 @@ def _settings(candidate: Candidate) -> str:
     return "; ".join([text(candidate.estimator.extractParamMap()), *[text(point) for point in candidate.grid or []]])
 
 
-def _kept(prepared: DataFrame, rows: int) -> DataFrame:
+def _kept(prepared: DataFrame, rows: int, *more: str) -> DataFrame:
     """Features and labels, evenly spread over the cluster and kept for the passes of training.
 
-    However few or uneven the files of the table, every core gets a share, and no share is larger
-    than ``ROWS_PER_TASK``.
+    However few or uneven the files of the table, every core gets a share, unless shares would be smaller than
+    ``LEAST_ROWS_PER_TASK``, and no share is larger than ``ROWS_PER_TASK``.
     """
-    tasks = max(prepared.sparkSession.sparkContext.defaultParallelism, math.ceil(rows / ROWS_PER_TASK))
-    needed = prepared.select("features", LABEL_COLUMN, TARGET_COLUMN)
+    cores = prepared.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(cores, rows // LEAST_ROWS_PER_TASK), math.ceil(rows / ROWS_PER_TASK))
+    needed = prepared.select("features", LABEL_COLUMN, TARGET_COLUMN, *more)
     return needed.repartition(tasks).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def _fit(candidate: Candidate, pre: PipelineModel, train: DataFrame, train_x: DataFrame,
-         parallelism: int, fold_local: bool) -> PipelineModel:
-    if candidate.grid is None:
-        return PipelineModel([*pre.stages, candidate.estimator.fit(train_x)])
-    estimator = Pipeline(stages=[*preprocessing().getStages(), candidate.estimator]) if fold_local else candidate.estimator
-    validator = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=candidate.grid,
-        evaluator=RegressionEvaluator(labelCol=TARGET_COLUMN, predictionCol=RAW_PREDICTION, metricName="rmse"),
-        numFolds=FOLDS,
-        parallelism=parallelism,
-        seed=SEED,
-    )
-    if fold_local:
-        return validator.fit(train).bestModel
-    return PipelineModel([*pre.stages, validator.fit(train_x).bestModel])
+@dataclass(frozen=True)
+class _Fitting:
+    """What the candidates of a run are fitted on."""
+
+    pre: PipelineModel
+    train: DataFrame
+    train_x: DataFrame
+    plain: Pipeline  # the preprocessing, not fitted
+    parallelism: int
+    fold_local: bool
+
+    def folds(self, fold: int) -> tuple[DataFrame, DataFrame]:
+        """Training and validation rows of a fold, prepared on all training rows, or on those of the fold alone."""
+        if not self.fold_local:
+            return self.train_x.filter(F.col(FOLD) != fold), self.train_x.filter(F.col(FOLD) == fold)
+        inside, outside = self.train.filter(F.col(FOLD) != fold), self.train.filter(F.col(FOLD) == fold)
+        prepared = self.plain.fit(inside)
+        return prepared.transform(inside), prepared.transform(outside)
+
+    def fit(self, candidate: Candidate, ledger: Ledger) -> tuple[PipelineModel, Search | None]:
+        grid = _grid_values(candidate.grid) if isinstance(candidate.estimator, RandomForestRegressor) else None
+        if candidate.grid is None:
+            return PipelineModel([*self.pre.stages, candidate.estimator.fit(self.train_x)]), None
+        if grid is not None:
+            search = search_forest(candidate.estimator, grid, self.folds, FOLDS, ledger, self.parallelism)
+            best = {candidate.estimator.getParam(name): value for name, value in search.best().settings.items()}
+            return PipelineModel([*self.pre.stages, candidate.estimator.fit(self.train_x, best)]), search
+        validator = CrossValidator(
+            estimator=Pipeline(stages=[*self.plain.getStages(), candidate.estimator]) if self.fold_local else candidate.estimator,
+            estimatorParamMaps=candidate.grid,
+            evaluator=RegressionEvaluator(labelCol=TARGET_COLUMN, predictionCol=RAW_PREDICTION, metricName="rmse"),
+            numFolds=FOLDS,
+            parallelism=self.parallelism,
+            seed=SEED,
+            foldCol=FOLD,
+        )
+        if self.fold_local:
+            return validator.fit(self.train).bestModel, None
+        return PipelineModel([*self.pre.stages, validator.fit(self.train_x).bestModel]), None
+
+
+def _grid_values(grid: list | None) -> dict[str, list] | None:
+    """The values of each setting, if the points are all their combinations."""
+    if not grid:
+        return None
+    values: dict[str, list] = {}
+    for point in grid:
+        for param, value in point.items():
+            known = values.setdefault(param.name, [])
+            if value not in known:
+                known.append(value)
+    return values if math.prod(map(len, values.values())) == len(grid) else None
+
+
+def _weighted(candidate: Candidate, weight_col: str | None) -> Candidate:
+    if weight_col is None:
+        return candidate
+    return replace(candidate, estimator=candidate.estimator.copy({candidate.estimator.getParam("weightCol"): weight_col}))
 
 
 def with_predictions(scored: DataFrame) -> DataFrame:
@@ -271,21 +331,30 @@ def train_models(
     purge: bool = False,
     model_dir: str | None = None,
     resume: bool = False,
-    parallelism: int = 2,
+    parallelism: int | None = None,
     fold_local: bool = False,
+    numeric: Sequence[str] = NUMERIC_FEATURES,
+    categorical: Sequence[str] = CATEGORICAL_FEATURES,
+    weight_col: str | None = None,
 ) -> TrainingRun:
     """Fit every candidate on the days before ``cutoff``, score it on the days from it on.
 
     The preprocessing is fitted once and its output kept for all candidates (``fold_local`` fits
     it anew in each fold instead).  A candidate that fails is recorded and the others go on.  With
     ``model_dir`` every model is saved with its scores as soon as it is done, and ``resume`` skips
-    those that have scores there, measured with the same cutoff, purging, numbers of rows and settings.
-    Every category keeps a slot of its own, in sparse vectors.
+    those that have scores there, measured with the same cutoff, purging, numbers of rows and settings; a search of
+    settings that was cut short goes on from the fits in its ledger there.
+    Every category keeps a slot of its own, in sparse vectors.  ``numeric`` and ``categorical`` name the input columns,
+    ``weight_col`` a column of ``df`` with the weights of training rows.  ``parallelism`` is the number of fits of a
+    search that run side by side: by default 2, or as many as it takes to give every core a task.
     """
     began = time.perf_counter()
     spark = df.sparkSession
-    tries = candidates() if tries is None else list(tries)
-    train, test = (_featured(part) for part in temporal_split(df, cutoff, purge=purge))
+    tries = [_weighted(c, weight_col) for c in (candidates() if tries is None else tries)]
+    inputs = [*numeric, *categorical]
+    extra = [] if weight_col is None else [weight_col]
+    train, test = (_featured(part, [*inputs, *extra]) for part in temporal_split(df, cutoff, purge=purge))
+    train = train.withColumn(FOLD, fold_of([*inputs, LABEL_COLUMN], FOLDS, SEED))
     train_rows, test_rows = _check_rows(train, test)
 
     families = {c.name: c.family for c in tries}
@@ -294,6 +363,8 @@ def train_models(
     models: dict[str, PipelineModel] = {}
 
     split = f"cutoff={cutoff}, purge={purge}, train_rows={train_rows}, test_rows={test_rows}"
+    split += "".join(f", {name}={value}" for name, value, usual in (
+        ("inputs", inputs, [*NUMERIC_FEATURES, *CATEGORICAL_FEATURES]), ("weight_col", weight_col, None)) if value != usual)
     origins = {c.name: f"{split}, fold_local={fold_local}; {_settings(c)}" for c in tries} | {MEAN_BASELINE: split}
 
     def record(name: str, row, family: str) -> dict:
@@ -310,19 +381,28 @@ def train_models(
     for name in resumed:
         scores.append({**{c: done[name][c] for c in METRICS_SCHEMA.names}, "model_family": families[name]})
 
+    plain = preprocessing(numeric, categorical)
     if len(resumed) < len(tries):
-        pre = preprocessing().fit(train)
+        pre = plain.fit(train)
     else:
         pre = load_model(model_path(model_dir, resumed[0]))
         pre = PipelineModel(pre.stages[:-1])
-    train_x = _kept(pre.transform(train), train_rows)
+    train_x = _kept(pre.transform(train), train_rows, FOLD, *extra)
     test_x = _kept(pre.transform(test), test_rows)
+    if parallelism is None:
+        parallelism = max(2, spark.sparkContext.defaultParallelism // train_x.rdd.getNumPartitions())
+    fitting = _Fitting(pre, train, train_x, plain, parallelism, fold_local)
+    searches: dict[str, Search] = {}
     try:
         for candidate in (c for c in tries if c.name not in done):
             started = time.perf_counter()
             try:
-                model = _fit(candidate, pre, train, train_x, parallelism, fold_local)
-                scored = model.transform(test) if fold_local and candidate.grid else model.stages[-1].transform(test_x)
+                ledger = Ledger(spark, model_dir and f"{model_path(model_dir, candidate.name)}_search", origins[candidate.name])
+                model, search = fitting.fit(candidate, ledger)
+                if search is not None:
+                    searches[candidate.name] = search
+                own = fold_local and candidate.grid and search is None  # a pipeline with a preprocessing of its own
+                scored = model.transform(test) if own else model.stages[-1].transform(test_x)
                 row = regression_metrics(with_predictions(scored)).first()
                 if model_dir is not None:
                     save_model(model, model_path(model_dir, candidate.name))
@@ -351,4 +431,6 @@ def train_models(
         importance=feature_importance(best, best.transform(test)),
         failures=failures, resumed=resumed,
         runtime_seconds=round(time.perf_counter() - began, 2),
+        numeric=numeric, categorical=categorical, searches=searches,
+        saved_model_dir=model_dir and model_path(model_dir, name),
     )

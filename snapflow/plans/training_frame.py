@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation
 
 from ..functions.features import add_shared_features
 from ..operators.episodes import collapse_episodes
-from ..operators.quality import sane_counts
+from ..operators.quality import is_empty, sane_counts
 from ..operators.standardize import standardize
 from ..schemas import DATE_COLUMN, EPISODE_TABLE
 from ..sources.tables import read_episode_table, write_parquet
@@ -43,7 +43,7 @@ def clean_snapshots(raw: DataFrame, target: str, max_gap_days: int = 1, co_locat
     Raw rows and rejects by cause are counted in the same pass and logged.  Nothing is written if
     ``raw`` is empty.
     """
-    if raw.isEmpty():
+    if is_empty(raw):
         logger.warning("No rows to clean")
         return 0
     report = Observation("cleaning")

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from ..workspace import remove
+
 POLICIES = ("keep", "unique", "reset")
 
 
@@ -20,6 +22,5 @@ def resolve_checkpoint_dir(spark: SparkSession, base_dir: str, policy: str = "ke
     if policy == "unique":
         return f"{base_dir.rstrip('/')}/run_{int(time.time())}_{uuid.uuid4().hex[:8]}"
     if policy == "reset":
-        path = spark._jvm.org.apache.hadoop.fs.Path(base_dir)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove(spark, base_dir)
     return base_dir

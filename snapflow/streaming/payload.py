@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.parse import clean_number
+from ..functions.parse import finite, read_number
 from ..schemas import PAYLOAD_SCHEMA
 
 CORRUPT = "_corrupt_record"
@@ -29,7 +29,8 @@ def parse_messages(
     text = F.col(value_col).cast("string")
     data = F.from_json(text, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     fields = df.select(*keep, F.inline(F.array(data)))
-    return fields.withColumns({name: clean_number(fields, name) for name in numbers})
+    read = fields.withColumns({name: read_number(fields, name) for name in numbers})
+    return read.withColumns({name: finite(F.col(name)) for name in numbers})
 
 
 def _identified(id_col: str) -> Column:
