@@ -1,6 +1,9 @@
 """Every operator run on the shared test tables, with the SQL it must agree with."""
 
-from .oracles import ORACLES
+from . import batches
+from .oracles import ORACLES as SINGLE
 from .queries import QUERIES
 
+ORACLES = SINGLE | batches.ORACLES
+
 __all__ = ["ORACLES", "QUERIES"]

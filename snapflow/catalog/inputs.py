@@ -36,9 +36,14 @@ RAW_SNAPSHOT = (
     " WHEN event_id % 4 = 2 THEN date_format(ts, 'yy.dd.MM')"
     " ELSE date_format(ts, 'MM/dd/yyyy') END AS video_trending__date",
     "CASE WHEN event_id % 307 = 0 THEN ''"
+    " WHEN event_id % 311 = 1 THEN date_format(ts - make_dt_interval(0, CAST((event_id * 7) % 200 AS INT)),"
+    " \"yyyy-MM-dd'T'HH:mm:ss.SSS'Z'\")"
+    " WHEN event_id % 313 = 2 THEN date_format(ts - make_dt_interval(0, CAST((event_id * 7) % 200 AS INT) - 7),"
+    " \"yyyy-MM-dd'T'HH:mm:ss'+07:00'\")"
     " ELSE date_format(ts - make_dt_interval(0, CAST((event_id * 7) % 200 AS INT)), \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"
     " END AS video_published_at",
-    "format_number(CAST(round(value * 100) AS BIGINT) * 10, 0) AS video_view_count",
+    "CASE WHEN event_id % 613 = 1 THEN 'NaN' WHEN event_id % 617 = 1 THEN 'Infinity' WHEN event_id % 619 = 1 THEN '5d'"
+    " WHEN event_id % 631 = 1 THEN '1e3' ELSE format_number(CAST(round(value * 100) AS BIGINT) * 10, 0) END AS video_view_count",
     "CAST(CAST(round(value * 100) AS BIGINT) * (event_id % 120) DIV 10 AS STRING) AS video_like_count",
     "CAST(CASE WHEN event_id % 211 = 0 THEN -1 ELSE CAST(round(value * 100) AS BIGINT) % 97 END AS STRING)"
     " AS video_comment_count",
@@ -55,7 +60,8 @@ RAW_CELLS = f"inline(array(struct({', '.join(RAW_SNAPSHOT)})))"
 
 
 def raw_snapshots(events: DataFrame) -> DataFrame:
-    """Events as dirty raw snapshots: text cells, odd column names, four date formats, gaps and nulls."""
+    """Events as dirty raw snapshots: text cells, odd column names, four date formats, three spellings of times, numbers that
+    are none, gaps and nulls."""
     return events.selectExpr(RAW_CELLS)
 
 
@@ -71,7 +77,8 @@ def preference() -> list:
 def messages(events: DataFrame) -> DataFrame:
     """Events as the JSON messages of a live feed, some of them broken; ``ts`` is the broker's time."""
     dressed = events.selectExpr("ts", RAW_CELLS)
-    views = F.regexp_replace("video_view_count", ",", "").cast("double")
+    plain = F.regexp_replace("video_view_count", ",", "")
+    views = F.when(plain.rlike("^[0-9e]+$"), plain).cast("double")
     payload = F.to_json(
         F.struct(
             F.coalesce("video_id", F.lit("  ")).alias("video_id"),
@@ -79,7 +86,7 @@ def messages(events: DataFrame) -> DataFrame:
             F.col("video_description").alias("description"),
             F.col("video_published_at").alias("publish_time"),
             F.col("video_tags").alias("tags"),
-            F.when(F.col("event_id") % 3 > 0, views).alias("views"),
+            F.when(F.col("event_id") % 3 > 0, F.col("video_view_count")).alias("views"),  # a number as text
             F.when(F.col("event_id") % 3 < 2, views).alias("view_count"),
             F.when(F.col("event_id") % 13 > 0, F.col("video_like_count").cast("double")).alias("likes"),
             F.col("video_comment_count").cast("double").alias("comment_count"),
@@ -168,3 +175,15 @@ def api_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("conv_id") % 2 == 0, "VN").otherwise("TH").alias("region_code"),
         F.to_json(F.struct(items.alias("items"), F.lit("next").alias("nextPageToken"))).alias("value"),
     )
+
+
+def arriving(spark: SparkSession, parts: list[DataFrame], path: str) -> None:
+    """One file per part, in order of time, below what may be there already."""
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(path)
+
+
+def file_by_file(spark: SparkSession, path: str) -> DataFrame:
+    """A stream whose micro-batches are the files of a folder, the oldest first."""
+    schema = spark.read.parquet(path).schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)

@@ -56,9 +56,11 @@ snap AS (
       WHEN event_id % 4 = 1 THEN strftime(ts, '%Y-%m-%d')
       WHEN event_id % 4 = 2 THEN strftime(ts, '%y.%d.%m')
       ELSE strftime(ts, '%m/%d/%Y') END AS trending_date,
-    CASE WHEN event_id % 307 = 0 THEN ''
-      ELSE strftime(ts - to_hours(CAST((event_id * 7) % 200 AS INT)), '%Y-%m-%dT%H:%M:%SZ') END AS publish_date,
-    format('{:,}', CAST(round(value * 100) AS BIGINT) * 10) AS view_text,
+    CASE WHEN event_id % 307 = 0 THEN NULL
+      ELSE date_trunc(CASE WHEN event_id % 311 = 1 THEN 'millisecond' ELSE 'second' END,
+        CAST(ts AS TIMESTAMP) - to_hours(CAST((event_id * 7) % 200 AS INT))) END AS published,
+    CASE WHEN event_id % 613 = 1 THEN 'NaN' WHEN event_id % 617 = 1 THEN 'Infinity' WHEN event_id % 619 = 1 THEN '5d'
+      WHEN event_id % 631 = 1 THEN '1e3' ELSE format('{:,}', CAST(round(value * 100) AS BIGINT) * 10) END AS view_text,
     CAST((CAST(round(value * 100) AS BIGINT) * (event_id % 120)) // 10 AS VARCHAR) AS like_text,
     CAST(CASE WHEN event_id % 211 = 0 THEN -1 ELSE CAST(round(value * 100) AS BIGINT) % 97 END AS VARCHAR)
       AS comment_text,
@@ -74,8 +76,9 @@ typed AS (
       CASE WHEN regexp_full_match(trending_date, '\d{2}\.\d{2}\.\d{2}') THEN try_strptime(trending_date, '%y.%d.%m') END,
       CASE WHEN regexp_full_match(trending_date, '\d{2}/\d{2}/\d{4}') THEN try_strptime(trending_date, '%m/%d/%Y') END
     ) AS DATE) AS trending_date_parsed,
-    CAST(try_strptime(publish_date, '%Y-%m-%dT%H:%M:%SZ') AS TIMESTAMP) AS publish_timestamp,
-    CAST(replace(view_text, ',', '') AS DOUBLE) AS view_count,
+    CAST(published AS TIMESTAMP) AS publish_timestamp,
+    CASE WHEN regexp_full_match(replace(view_text, ',', ''), '[0-9.e]+') THEN CAST(replace(view_text, ',', '') AS DOUBLE) END
+      AS view_count,
     CAST(like_text AS DOUBLE) AS likes,
     CAST(comment_text AS DOUBLE) AS comment_count
   FROM snap),
@@ -323,7 +326,7 @@ WHERE country IN (SELECT country FROM people WHERE c_acctbal > 9900)""",
   string_agg(DISTINCT country, ',' ORDER BY country) FILTER (country IN ({_KEPT})) AS kept_countries FROM people""",
     "api_flatten": f"{API} SELECT {API_COLUMNS} FROM items",
     "api_category": f"{API} SELECT {API_COLUMNS} FROM items WHERE categoryId = '3' AND country = 'VN'",
-    "api_capped": f"""{API}, capped AS (SELECT * FROM items ORDER BY conv_id, turn, place LIMIT 500)
+    "api_capped": f"""{API}, capped AS (SELECT * FROM items ORDER BY conv_id, turn, place LIMIT 40)
 SELECT {API_COLUMNS} FROM capped""",
     "events_props_json": """SELECT event_id, CAST(regexp_extract(props, '"k": (-?[0-9]+)', 1) AS INT) AS k FROM events""",
     "to_json_roundtrip": "SELECT event_id, user_id, event_type, value, props FROM events",

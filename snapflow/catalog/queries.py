@@ -456,7 +456,7 @@ def api_category(spark, sf_dir):
 @query
 def api_capped(spark, sf_dir):
     rows = flatten_pages(inputs.api_pages(spark, sf_dir), fetch_keys=["region_code"], page_order=["conv_id", "turn"])
-    return cap_results(rows, 500, ["conv_id", "turn", "place"]).select(*API_COLUMNS)
+    return cap_results(rows, 40, ["conv_id", "turn", "place"]).select(*API_COLUMNS)
 
 
 # ---------------------------------------------------------------- JSON

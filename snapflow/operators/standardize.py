@@ -111,3 +111,30 @@ def standardize(
     typed = type_columns(rename_aliases(df))
     placed = identified(typed if report is None else typed.observe(report, *cleaning_counts()))
     return deduplicate(placed.repartition(*ITEM_KEYS) if co_locate else placed, prefer=prefer)
+
+
+LATE_COLUMNS: tuple[str, ...] = ("title", "description", "tags")
+
+
+def standardize_files(
+    raw: DataFrame, prefer: Sequence[Column] | None = None, late: Sequence[str] = LATE_COLUMNS, report: Observation | None = None
+) -> DataFrame:
+    """Same rows as :func:`standardize`, for a table read straight from parquet files with long texts.
+
+    Duplicates are settled on narrow rows that know the file and place they came from; the texts named in ``late`` are
+    read in a second scan and join the winners by that place.  They are shuffled once and never sorted, and those of
+    losers go no further than the scan's own task.  ``prefer`` must not look at them.
+    """
+    origin = {"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")}
+    located = rename_aliases(raw.select("*", *[place.alias(name) for name, place in origin.items()]))
+    typed = type_columns(located)
+    placed = identified(typed if report is None else typed.observe(report, *cleaning_counts()))
+    if prefer is None:
+        # the hash that settles ties is taken while the whole row is at hand
+        plain = default_preference(placed.drop(*origin))
+        placed = placed.withColumn("_tie", plain[-1])
+        prefer = [*plain[:-1], F.col("_tie")]
+    winners = deduplicate(placed.drop(*late), prefer=prefer).drop("_tie")
+    texts = located.select(*late, *origin)
+    columns = [c for c in typed.columns if c not in origin]
+    return texts.join(winners.hint("shuffle_hash"), list(origin)).select(*columns)

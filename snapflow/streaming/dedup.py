@@ -13,7 +13,7 @@ def drop_repeats(
     keys: Sequence[str] = ("video_id",),
     event_time_col: str | None = None,
     delay: str | None = None,
-    salts: int | None = None,
+    salts: int = 1,
 ) -> DataFrame:
     """First row per key over the life of a stream.
 
@@ -21,14 +21,11 @@ def drop_repeats(
     With ``event_time_col`` and ``delay`` a key is forgotten once the watermark has passed it by
     ``delay``, which bounds the state; rows later than that are dropped by Spark.
 
-    Every row is shuffled, by its key and a salt: a key that holds much of a batch is dealt over
-    ``salts`` tasks, and at most one row of each goes on to a second, exact stage.  That costs a
-    second shuffle of what is new and up to ``salts`` state entries per key; ``salts=1`` leaves it
-    out where no key is hot.  By default there are as many salts as shuffle partitions.  The salt is
-    the number of the input split, so it is the same when a lost task is run again.
+    Every row is shuffled by its key, and the state has one entry per key.  Where a key holds much of a batch, ``salts``
+    deals it over so many tasks; at most one row of each goes on to a second, exact stage.  That costs a second
+    shuffle of what is new and up to ``salts`` more state entries per key.  The salt is the number of the input split, so it is
+    the same when a lost task is run again.
     """
-    if salts is None:
-        salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if (event_time_col is None) != (delay is None):
         raise ValueError("event_time_col and delay go together")
     salted = df if salts <= 1 else df.withColumn("_salt", F.spark_partition_id() % salts)

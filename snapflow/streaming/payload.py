@@ -33,13 +33,13 @@ def parse_messages(
     return read.withColumns({name: finite(F.col(name)) for name in numbers})
 
 
-def _identified(id_col: str) -> Column:
+def identified(id_col: str) -> Column:
     return F.length(F.trim(F.coalesce(F.col(id_col), F.lit("")))) > 0
 
 
 def valid_messages(parsed: DataFrame, id_col: str = "video_id") -> DataFrame:
     """Readable messages with an id that is not blank; none of them is among the rejected ones."""
-    return parsed.filter(_identified(id_col) & F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return parsed.filter(identified(id_col) & F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 def rejected_messages(parsed: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import Future
 
 from pyspark.ml import Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.features import add_shared_features, back_transform
 from ..functions.parse import parse_publish_time
+from ..sources.registry import ModelRegistry
 from .payload import parse_messages, valid_messages
 
 SNAPSHOT = "snapshot_time"
@@ -66,3 +69,28 @@ def score_stream(
 ) -> DataFrame:
     """Predictions for a stream (or batch) of messages: projections only, nothing is shuffled."""
     return prediction_output(model.transform(stream_features(messages, value_col, event_time_col, country_names)))
+
+
+def score_with_current(
+    messages: DataFrame, registry: ModelRegistry, path: str, checkpoint: str, available_now: bool = False, **options
+) -> StreamingQuery:
+    """Append predictions to ``path``, each micro-batch scored by the model that is in use when it starts.
+
+    A running stream takes a newly published model with its next batch.  The rows say which version scored them.  A batch that
+    is replayed is scored by the model in use then and overwrites what it wrote before.  ``options`` go to
+    :func:`score_stream`.
+    """
+    path = path.rstrip("/")
+    started: Future[str] = Future()
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        version, model = registry.current()
+        scored = score_stream(batch, model, **options).withColumn("model_version", F.lit(version).cast("bigint"))
+        scored.write.mode("overwrite").parquet(f"{path}/run_id={started.result()}/batch_id={batch_id}")
+
+    writer = messages.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    query = writer.start()
+    started.set_result(query.id)
+    return query
