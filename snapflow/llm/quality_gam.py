@@ -48,13 +48,19 @@ class Model:
     def bins(self, x: np.ndarray) -> np.ndarray:
         return np.column_stack([np.searchsorted(e, x[:, j], side="left") for j, e in enumerate(self.edges)])
 
+    def coarse(self, b: np.ndarray) -> np.ndarray:
+        """Bins of the pair tables: as many of a ratio's own bins, in order, to each; a ratio with few bins keeps them apart."""
+        own = np.array([max(len(e) + 1, 1) for e in self.edges])
+        return b * np.minimum(own, PAIR_BINS) // own
+
     def score(self, x: np.ndarray) -> np.ndarray:
         b = self.bins(x)
+        c = self.coarse(b)
         total = np.full(len(x), self.intercept)
         for j, table in enumerate(self.tables):
             total += table[b[:, j]]
         for (i, j), table in zip(self.pairs, self.pair_tables):
-            total += table[b[:, i] * PAIR_BINS // BINS, b[:, j] * PAIR_BINS // BINS]
+            total += table[c[:, i], c[:, j]]
         return 1 / (1 + np.exp(-total))
 
 
@@ -102,7 +108,7 @@ def fit(x: np.ndarray, y: np.ndarray, rounds: int = 120, rate: float = 0.1, n_pa
             step = rate * _tree(*gradients(b[:, j], BINS), LEAVES, least)
             table += step
             total += step[b[:, j]]
-    coarse = b * PAIR_BINS // BINS
+    coarse = model.coarse(b)
     cells = {(i, j): coarse[:, i] * PAIR_BINS + coarse[:, j] for i, j in combinations(range(x.shape[1]), 2)}
 
     def gain(cell: np.ndarray) -> float:
