@@ -58,15 +58,21 @@ def base_failed() -> Column:
 
 
 def binomial_tail(n: int, k: int, p: float) -> float:
-    """Chance of at most k successes in n trials."""
+    """Chance of at most k successes in n trials, for k up to the mean.
+
+    Below the mean the terms fall from k downwards, so they are added from there until they no longer count: about the root of
+    n of them, one at a time.
+    """
     if k >= n:
         return 1.0
-    terms = [
-        math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p)
-        for i in range(k + 1)
-    ]
-    top = max(terms)
-    return min(1.0, math.exp(top) * sum(math.exp(t - top) for t in terms))
+    first = math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(p) + (n - k) * math.log1p(-p)
+    total = term = 1.0
+    for i in range(k, 0, -1):
+        term *= i * (1 - p) / ((n - i + 1) * p)
+        total += term
+        if term < total * 1e-18:
+            break
+    return min(1.0, math.exp(first + math.log(total)))
 
 
 def certified(n: int, rejected: int, limit: float, level: float) -> bool:
