@@ -12,11 +12,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .tables import lookup
 
+BROADCAST_SUMS = 1_000_000  # numbers, eight bytes each
 
 def unit_number(seed: int, *keys: Column) -> Column:
     """A double in [0, 1) with 52 bits from the MD5 hash of seed and keys."""
@@ -24,19 +25,19 @@ def unit_number(seed: int, *keys: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-def poisson_distribution(rate: Column) -> Column:
-    """Distribution function at 0, 1, 2 ..., as far as it differs from 1; the terms are formed as logarithms, so large rates
-    do not underflow."""
-    last = (F.ceil(rate + 12 * F.sqrt(rate)) + 30).cast("int")
-    begin = F.struct((-rate).alias("log_term"), F.array(F.exp(-rate)).alias("sums"))
-    step = lambda acc, k: F.struct(
-        (acc.log_term + F.log(rate) - F.log(k.cast("double"))).alias("log_term"),
-        F.array_append(
-            acc.sums, F.element_at(acc.sums, -1) + F.exp(acc.log_term + F.log(rate) - F.log(k.cast("double")))
-        ).alias("sums"),
-    )
-    sums = F.aggregate(F.sequence(F.lit(1), last), begin, step, lambda acc: acc.sums)
-    return F.when(rate > 0, sums).otherwise(F.array(F.lit(1.0)))
+def poisson_distributions(rates: DataFrame) -> DataFrame:
+    """source and sums, the distribution function at 0, 1, 2 ... as far as it differs from 1, for every row of positive rate.
+
+    The terms are formed as logarithms, so large rates do not underflow, and added up by a window over a row per term, so the
+    work is their number.
+    """
+    last = (F.ceil(F.col("rate") + 12 * F.sqrt("rate")) + 30).cast("long")
+    terms = rates.select("source", "rate", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("k"))
+    upto = Window.partitionBy("source").orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    factor = F.when(F.col("k") == 0, -F.col("rate")).otherwise(F.log("rate") - F.log(F.col("k").cast("double")))
+    terms = terms.withColumn("term", F.exp(F.sum(factor).over(upto))).withColumn("sum", F.sum("term").over(upto))
+    sums = F.transform(F.array_sort(F.collect_list(F.struct("k", "sum"))), lambda x: x["sum"])  # of one source
+    return terms.groupBy("source").agg(sums.alias("sums"))
 
 
 def source_rates(
@@ -87,19 +88,20 @@ def mix_sources(
 
     rates: source and rate, one row per source (source_rates()).  A document whose source has no row there is left out.
     Rows with the same id draw the same number; a null id draws like the empty text.  An empty table gives none.
-    The rates are broadcast only after they have been counted and are few; else documents and rates are joined by shuffle.
+    The distributions are broadcast only after their numbers have been counted and are few; else documents and rates are
+    joined by shuffle.  Columns of docs called copy_no or shuffle_key are replaced; no column may begin with ``__mix_``.
     """
-    table = rates.where("rate > 0").select(F.col("source").alias("__source"), poisson_distribution(F.col("rate")).alias("__sums"))
-    table = lookup(table, "source_rates")
+    table = poisson_distributions(rates.where("rate > 0")).select(F.col("source").alias("__mix_source"), F.col("sums").alias("__mix_sums"))
+    table = lookup(table, "source_rates", BROADCAST_SUMS, size=F.size("__mix_sums"))
     plain = docs.drop("copy_no", "shuffle_key")
-    joined = plain.join(table, plain[source_col].eqNullSafe(F.col("__source")))
-    drawn = joined.withColumn("__u", unit_number(seed, F.col(id_col)))
+    joined = plain.join(table, plain[source_col].eqNullSafe(F.col("__mix_source")))
+    drawn = joined.withColumn("__mix_u", unit_number(seed, F.col(id_col)))
     # the smallest k whose distribution function is above u
-    copies = F.size(F.filter("__sums", lambda p: p <= F.col("__u")))
+    copies = F.size(F.filter("__mix_sums", lambda p: p <= F.col("__mix_u")))
     repeated = (
-        drawn.withColumn("__copies", copies).where("__copies > 0")
-        .withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+        drawn.withColumn("__mix_copies", copies).where("__mix_copies > 0")
+        .withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("__mix_copies"))))
         .withColumn("shuffle_key", F.md5(F.concat_ws("|", F.lit(f"order {seed}"), F.col(id_col).cast("string"), "copy_no")))
-        .drop("__source", "__sums", "__u", "__copies")
+        .drop("__mix_source", "__mix_sums", "__mix_u", "__mix_copies")
     )
     return repeated.repartition("shuffle_key").sortWithinPartitions("shuffle_key")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..workspace import new_run_dir
@@ -18,10 +18,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def lookup(df: DataFrame, name: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A table to join with: broadcast if it has few rows, which is counted; else Spark shuffles both sides."""
+def lookup(df: DataFrame, name: str, most: int = BROADCAST_ROWS, size: Column | None = None) -> DataFrame:
+    """A table to join with: broadcast if it is small, which is counted; else Spark shuffles both sides.
+
+    Small is a table of up to ``most`` rows, or whose rows' ``size`` adds up to no more.
+    """
     stored = written(df, name)
-    return F.broadcast(stored) if stored.limit(max_rows + 1).count() <= max_rows else stored
+    if size is None:
+        small = stored.limit(most + 1).count() <= most
+    else:
+        small = (stored.agg(F.sum(size.cast("long"))).first()[0] or 0) <= most
+    return F.broadcast(stored) if small else stored
 
 
 def schema_text(df: DataFrame, columns) -> str:
