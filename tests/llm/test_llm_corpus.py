@@ -312,6 +312,29 @@ def test_pipeline_matches_plain_versions(spark, sf_dir):
         copies = brute.poisson_copies(amount**0.5 / roots * total / amount, brute.unit(corpus_pipeline.SEED, d)) if amount else 0
         ids = plain.encode_ordinary(text)
         ends = np.cumsum([len(plain.decode_single_token_bytes(i)) for i in ids])
-        expected += [(d, docs[d].source, len(ids), np.array(ids, "<u4").tobytes(), ends.astype("<u4").tobytes())] * copies
-    found = [(r.doc_id, r.source, r.n_tokens, bytes(r.ids), bytes(r.token_ends)) for r in corpus_pipeline.run(spark, sf_dir).collect()]
+        digest = hashlib.sha256(text.encode()).hexdigest()
+        expected += [(d, docs[d].source, len(ids), np.array(ids, "<u4").tobytes(), ends.astype("<u4").tobytes(), digest)] * copies
+    rows = corpus_pipeline.run(spark, sf_dir).collect()
+    found = [(r.doc_id, r.source, r.n_tokens, bytes(r.ids), bytes(r.token_ends), r.decoded_sha256) for r in rows]
     assert sorted(found) == sorted(expected)
+
+
+def test_pipeline_with_extra_and_clashing_columns(spark, sf_dir):
+    """Columns that the stages use inside, through all stages but the last."""
+    names = ["id", "g", "p", "token", "bucket", "kept", "n_words", "rest", "copy", "names", "component_id", "rate", "u"]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id < 90")
+    docs = docs.select("*", *[F.concat(F.lit(f"{n} "), "doc_id").alias(n) for n in names])
+    plain = docs.select("doc_id", "text", "lang", "source", "n_chars")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs, plain = stage(spark, docs, sf_dir), stage(spark, plain, sf_dir)
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars", *names], name
+        assert all(r[n] == f"{n} {r.doc_id}" for r in docs.collect() for n in names)
+        assert sorted(map(tuple, docs.select(plain.columns).collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
+def test_many_are_tied_to_one_node(spark):
+    """A hub, a chain and both ends of a struct-valued node."""
+    links = [(0, i) for i in range(1, 300)] + [(i, i + 1) for i in range(1000, 1040)] + [(1020, 150), (7, 7), (5, 4), (4, 5)]
+    found = components.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()
+    assert {r.node: r.component for r in found} == {i: 0 for i in [*range(300), *range(1000, 1041)]}
+    assert components.components(spark.createDataFrame([(3, 3)], "a bigint, b bigint")).count() == 0

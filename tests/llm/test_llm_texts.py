@@ -1,6 +1,7 @@
 """Operators that work text by text."""
 
 import hashlib
+import math
 import random
 
 import brute
@@ -8,7 +9,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
-from snapflow.llm import bpe, quality_gam, quality_rules, token_counts, url_filter
+from snapflow.llm import bpe, mixing, quality_gam, quality_rules, token_counts, url_filter
 from snapflow.llm.arrays import TextBatch
 from snapflow.llm.text_stats import BASE_COUNTS, text_counts
 
@@ -199,3 +200,31 @@ def test_rules_query_against_plain_version(spark, sf_dir):
     assert len(rows) == len(texts)
     for r in rows:
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == brute.text_counts(texts[r.doc_id])
+
+
+def test_pairs_of_ratios_with_two_values_interact():
+    """Labels that hang on whether two yes-or-no ratios agree: no table of one ratio can tell, a pair table can."""
+    rng = np.random.default_rng(1)
+    x = np.column_stack([rng.integers(0, 2, 4000), rng.integers(0, 2, 4000), rng.normal(size=4000)]).astype(float)
+    y = (x[:, 0] == x[:, 1]).astype(float)
+    model = quality_gam.fit(x, y)
+    assert (0, 1) in model.pairs
+    assert ((model.score(x) > 0.5) == (y == 1)).mean() > 0.99
+
+
+def test_tail_of_many_trials():
+    """Against a normal approximation where a term per success would be too many."""
+    n, p = 10**9, 0.01
+    sd = math.sqrt(n * p * (1 - p))
+    for z in (0.5, 2.0, 4.0):
+        tail = quality_rules.binomial_tail(n, round(n * p - z * sd), p)
+        assert abs(tail / (0.5 * math.erfc(z / math.sqrt(2))) - 1) < 0.01
+
+
+def test_rates_with_very_many_copies(spark):
+    """A distribution of a hundred thousand terms: sums rise to 1, and half the mass lies around the rate."""
+    rates = spark.createDataFrame([("a", 1e5), (None, 0.3)], "source string, rate double")
+    sums = {r.source: r.sums for r in mixing.poisson_distributions(rates).collect()}
+    assert abs(sums["a"][-1] - 1) < 1e-6 and abs(sums["a"][100_000] - 0.5) < 0.01 and len(sums[None]) < 60
+    assert all(x <= y for x, y in zip(sums["a"], sums["a"][1:]))
+    assert abs(sums[None][0] - math.exp(-0.3)) < 1e-15
