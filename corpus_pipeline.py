@@ -49,9 +49,10 @@ def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, ids (packed), token_ends and n_tokens of every copy."""
-    coded = bpe.encode(docs.select("doc_id", "source", "text"), VOCABULARY)
-    return coded.select("doc_id", "source", "n_tokens", "ids", "token_ends")
+    """doc_id, source, ids (packed), token_ends and n_tokens of every copy, and the digest of the bytes that the ids decode to."""
+    coded = bpe.encode(docs.select("doc_id", "source", "text"), VOCABULARY).drop("text")
+    decoded = bpe.decode(coded, VOCABULARY)
+    return decoded.select("doc_id", "source", "n_tokens", "ids", "token_ends", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [
