@@ -31,6 +31,8 @@ SIMILAR = 80  # per cent
 WORDS_64 = 32  # 64-bit words of a bitmap
 LEAF, FAN = 16, 8
 BUCKET_ROWS = 2048
+PAIR_ROWS = 4096  # rows of mixed shingles that a task compares, on average
+MAX_TASKS = 10_000
 HASHES = 3
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -328,7 +330,10 @@ def _missed_links(leaders: DataFrame, labels: DataFrame) -> DataFrame:
         SignatureTree(bitmaps, size[order]).walk(connected, visit)
         return table_of({"a": [int(x) for x, _ in found], "b": [int(y) for _, y in found]}, LINKS)
 
-    pairs = dealt.groupBy("token", "p", "q").applyInArrow(pair, "a bigint, b bigint").distinct()
+    # a number is given, since adaptive merging goes by bytes, and the work by pairs
+    tasks = min(MAX_TASKS, int(places.agg(F.sum("parts")).first()[0] or 0) // PAIR_ROWS + 1)
+    spread = dealt.repartition(tasks, "token", "p", "q")
+    pairs = spread.groupBy("token", "p", "q").applyInArrow(pair, "a bigint, b bigint").distinct()
     sets = leaders.select("id", "names")
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("names").alias("x")), "a")
     both = both.join(sets.select(F.col("id").alias("b"), F.col("names").alias("y")), "b")
