@@ -78,13 +78,14 @@ def jaccard_components(rows, size=5, similar=80):
 
 
 def top_k(rows, is_query, k, factor):
-    usable = {}
-    for i, v in rows:
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            usable[i] = [math.floor(factor * x) for x in v]
+    usable = [
+        (i, [math.floor(factor * x) for x in v]) for i, v in rows
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
+    ]
     out = []
-    for q in filter(is_query, usable):
-        scores = sorted((-sum(a * b for a, b in zip(usable[q], usable[c])), c) for c in usable if c != q)
+    for q in sorted({i for i, _ in usable if is_query(i)}):
+        pairs = [(a, c, b) for i, a in usable if i == q for c, b in usable if c != q]
+        scores = sorted((-sum(x * y for x, y in zip(a, b)), c) for a, c, b in pairs)
         out += [(q, r, c, -s) for r, (s, c) in enumerate(scores[:k], 1)]
     return sorted(out)
 

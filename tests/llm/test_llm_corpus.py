@@ -127,17 +127,58 @@ def test_top_k_matches_plain_version(spark, monkeypatch, k):
     monkeypatch.setattr(topk, "PIVOTS", 4)
     monkeypatch.setattr(topk, "ANNULI", 3)
     monkeypatch.setattr(topk, "FIRST_ANNULI", 2)
+    monkeypatch.setattr(topk, "ANNULUS_ROWS", 20)
+    monkeypatch.setattr(topk, "PART_ROWS", 30)
     monkeypatch.setattr(topk, "BLOCK_QUERIES", 9)  # several blocks
     pick = random.Random(4)
     rows = [(i, [pick.choice([-1.0, -0.5, 0.0, 0.26, 0.7]) for _ in range(5)]) for i in range(300)]
     rows += [(1000 + i, [0.5] * 5) for i in range(150)]  # one common vector, many ties
     rows += [(2000, None), (2001, [1.0, None]), (2002, [float("nan")]), (2003, [float("inf")]), (2004, []), (2005, [0.9]), (None, [1.0])]
-    rows += [(0, rows[0][1])]
+    rows += [(0, rows[0][1]), (20, rows[7][1]), (21, rows[9][1]), (21, rows[9][1])]  # ids that come again, with other vectors too
     df = spark.createDataFrame([(i, v, 1) for i, v in rows], VECTORS)
     found = topk.top_k(df, F.col("vec_id") % 20 == 0, k=k, factor=64)
     assert sorted(map(tuple, found.collect())) == brute.top_k(rows, lambda i: i % 20 == 0, k, 64)
 
 
+def test_top_k_agrees_with_sql_on_repeated_ids(spark, tmp_path):
+    from compare import connect, differences
+    from snapflow.llm.queries import ORACLES
+
+    pick = random.Random(6)
+    rows = [(pick.randrange(60), [float(np.float32(pick.gauss(0, 1))) for _ in range(4)], 1) for _ in range(150)]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").coalesce(1).write.parquet(str(tmp_path / "e"))
+    next((tmp_path / "e").glob("*.parquet")).rename(tmp_path / "embeddings.parquet")
+    assert differences(QUERIES["op7_exact_topk"](spark, str(tmp_path)), connect(str(tmp_path)), ORACLES["op7_exact_topk"]) == []
+
+
+def test_top_k_of_huge_components(spark):
+    """Products are exact up to 64 bits and cut there; components are cut before."""
+    rows = [(20, [2.0**40, 1.0]), (1, [2.0**13, 3.0]), (2, [2.0**13, 4.0]), (3, [2.0**60, 0.0]), (4, [-(2.0**60), 0.0]), (5, [1e300, 0.0])]
+    df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id bigint, embedding array<double>, label int")
+    found = topk.top_k(df, F.col("vec_id") == 20, k=9, factor=1).orderBy("rank").collect()
+    most, least = 2**63 - 1, -(2**63)
+    assert [(r.vec_id, r.score) for r in found] == [(3, most), (5, most), (2, 2**53 + 4), (1, 2**53 + 3), (4, least)]
+
+
+def test_bounds_of_all_pivots_skip_clustered_vectors():
+    """Of clustered vectors a query has to be compared with few; what is skipped cannot be among its best."""
+    rng = np.random.default_rng(3)
+    v = (np.repeat(rng.normal(size=(60, 16)), 50, axis=0) * 40 + rng.normal(size=(3000, 16))).astype(np.int64)
+    length = float(np.sqrt((v.astype(float) ** 2).sum(1).max()))
+    geometry = topk.Geometry(16, length, int(np.abs(v).max()) + 1, v[::50])
+    far = geometry.distances(geometry.lift(v))
+    annulus = far.argmin(1)
+    low, high = (np.array([f(far[annulus == a], axis=0) for a in range(60)]) for f in (np.min, np.max))
+    q = v[::37]
+    score = q @ v.T
+    tenth = np.sort(score, axis=1)[:, -11]
+    meets = geometry.bounds(q, low, high) >= tenth[:, None]
+    share = meets[:, annulus].mean()
+    assert share <= 0.3
+    best = score > tenth[:, None]
+    assert meets[:, annulus][best].all()
+
+
 def test_top_k_of_few_rows(spark):
     for rows in ([], [(20, [1.0])], [(20, [0.0]), (40, [0.0])]):
         df = spark.createDataFrame([(i, v, 1) for i, v in rows], VECTORS)
