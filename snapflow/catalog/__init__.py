@@ -1,9 +1,9 @@
 """Every operator run on the shared test tables, with the SQL it must agree with."""
 
-from . import batches
+from . import batches, learning
 from .oracles import ORACLES as SINGLE
 from .queries import QUERIES
 
-ORACLES = SINGLE | batches.ORACLES
+ORACLES = SINGLE | batches.ORACLES | learning.ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]

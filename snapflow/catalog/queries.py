@@ -24,9 +24,8 @@ from ..plans.score import score_table
 from ..plans.training_frame import build_training_frame
 from ..schemas import ALIASES, DATE_COLUMN, LABEL_COLUMN, NUMERIC_FEATURES, OPTIONAL_DEFAULTS, PREDICTION_SCHEMA
 from ..sources.metrics import read_metrics, write_model_metrics
-from ..sources.models import load_model, save_model
 from ..sources.pages import cap_results, flatten_pages
-from ..sources.tables import csv_to_parquet, read_episode_table, read_snapshot_csv, write_csv, write_parquet
+from ..sources.tables import csv_to_parquet, read_snapshot_csv, write_csv
 from ..streaming.dedup import drop_repeats
 from ..streaming.live import read_live_table, write_live_table
 from ..streaming.payload import CORRUPT, parse_messages, rejected_messages, valid_messages
@@ -336,65 +335,7 @@ def one_hot_slots(spark, sf_dir):
     )
 
 
-# ---------------------------------------------------------------- training
-
-
-def _episode_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The cleaned table as the training job finds it: on shared storage."""
-    path = new_run_dir(spark, "episodes")
-    write_parquet(_training_frame(spark, sf_dir), path)
-    return read_episode_table(spark, path)
-
-
-def _trained(spark: SparkSession, sf_dir: str, *tries: learn.Candidate, **options) -> learn.TrainingRun:
-    return learn.train_models(_episode_table(spark, sf_dir), tries, CUTOFF, **options)
-
-
-def _scores_of(spark: SparkSession, run: learn.TrainingRun) -> DataFrame:
-    return spark.createDataFrame(
-        run.scores, "model_name string, rmse double, mae double, r2 double, model_family string"
-    )
-
-
-@query
-def train_lr(spark, sf_dir):
-    return _scores_of(spark, _trained(spark, sf_dir, learn.linear_regression()))
-
-
-@query
-def train_gbt(spark, sf_dir):
-    return _scores_of(spark, _trained(spark, sf_dir, learn.gradient_boosting()))
-
-
-@query
-def train_rf(spark, sf_dir):
-    return _scores_of(spark, _trained(spark, sf_dir, learn.random_forest()))
-
-
-@query
-def train_rf_tuned(spark, sf_dir):
-    return _scores_of(spark, _trained(spark, sf_dir, learn.random_forest_tuned()))
-
-
-@query
-def train_summary(spark, sf_dir):
-    """A whole run with models saved, continued by a second run that finds the first model done."""
-    base = new_run_dir(spark, "models")
-    episodes_table = _episode_table(spark, sf_dir)
-    learn.train_models(episodes_table, [learn.linear_regression()], CUTOFF, model_dir=base)
-    boosted = learn.gradient_boosting()
-    run = learn.train_models(
-        episodes_table, [learn.linear_regression(), boosted], CUTOFF, model_dir=base, resume=True
-    )
-    return run.summary()
-
-
-@query
-def score_batch(spark, sf_dir):
-    episodes_table = _episode_table(spark, sf_dir)
-    run = learn.train_models(episodes_table, [learn.linear_regression()], CUTOFF)
-    path = save_model(run.best, new_run_dir(spark, "model"))
-    return score_table(load_model(path), episodes_table)
+# ---------------------------------------------------------------- scoring by a rule
 
 
 def _rule() -> SQLTransformer:
@@ -407,12 +348,6 @@ def score_rule(spark, sf_dir):
     return rounded(score_table(_rule(), _training_frame(spark, sf_dir)), 6, "log_views", "log_likes", "log_comment_count")
 
 
-@query
-def importance_top15(spark, sf_dir):
-    run = _trained(spark, sf_dir, learn.gradient_boosting())
-    return run.importance.orderBy(F.col("importance").desc(), "feature").limit(15)
-
-
 # ---------------------------------------------------------------- regions and API pages
 
 
@@ -664,13 +599,6 @@ def stream_dedup_bounded(spark, sf_dir):
     return _landed(session, rows.select(*EVENT_KEYS), "stream-dedup-bounded")
 
 
-@query
-def stream_score(spark, sf_dir):
-    run = _trained(spark, sf_dir, learn.linear_regression())
-    sent = inputs.messages(inputs.stream_of(spark, sf_dir, "events"))
-    return _landed(spark, score_stream(sent, run.best), "stream-score")
-
-
 @query
 def stream_score_rule(spark, sf_dir):
     sent = inputs.messages(inputs.stream_of(spark, sf_dir, "events"))

@@ -4,8 +4,10 @@ import random
 
 import pytest
 from pyspark.ml import Estimator
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
-from snapflow.plans import learn
+from snapflow.plans import learn, search
 from snapflow.plans.compare import aggregate_metrics, promote_best
 from snapflow.plans.score import score_table
 from snapflow.schemas import EPISODE_TABLE, MEAN_BASELINE, NUMERIC_FEATURES, SCORED_COLUMNS
@@ -68,15 +70,55 @@ def test_forest_grid(spark):
 
 
 def test_tuned_query_searches_the_whole_grid(spark, sf_dir, monkeypatch):
-    from snapflow.catalog import queries
+    from snapflow.catalog import learning
 
     tried = []
-    monkeypatch.setattr(queries, "_trained", lambda spark, sf_dir, *tries, **options: tried.extend(tries))
-    monkeypatch.setattr(queries, "_scores_of", lambda spark, run: None)
-    queries.train_rf_tuned(spark, sf_dir)
+
+    def train(episodes, tries, *args, **options):
+        tried.extend(tries)
+        raise InterruptedError
+
+    monkeypatch.setattr(learning.learn, "train_models", train)
+    with pytest.raises(InterruptedError):
+        learning.train_rf_tuned(spark, sf_dir)
     assert [learn._settings(c) for c in tried] == [learn._settings(learn.random_forest_tuned())]
 
 
+def test_smaller_forests_are_parts_of_a_larger_one(spark):
+    """Errors of first trees, and of trees cut at a depth, equal those of the trees themselves."""
+    df = spark.range(1500).select(F.rand(1).alias("a"), F.rand(2).alias("b"), (F.rand(3) * 3).cast("int").alias("c"))
+    rows = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(df.withColumn("y", F.col("a") * F.col("c") + F.rand(5) / 10)).cache()
+
+    def forest(depth):
+        return RandomForestRegressor(labelCol="y", predictionCol="raw_prediction", numTrees=6, maxDepth=depth, seed=1).fit(rows)
+
+    def rmse(prediction, scored):
+        return scored.select(F.sqrt(F.avg(F.pow(prediction - F.col("y"), 2)))).first()[0]
+
+    deep = forest(7)
+    errors = search.nested_errors(deep, rows, [2, 6], [3, 7], "y")
+    first_two = rows
+    for i in range(2):
+        first_two = deep.trees[i].setPredictionCol(f"p{i}").transform(first_two)
+    assert errors[2, 7] == pytest.approx(rmse((F.col("p0") + F.col("p1")) / 2, first_two), abs=1e-12)
+    assert errors[6, 7] == pytest.approx(rmse(F.col("raw_prediction"), deep.transform(rows)), abs=1e-12)
+    assert errors[6, 3] == pytest.approx(rmse(F.col("raw_prediction"), forest(3).transform(rows)), abs=1e-12)
+
+
+def test_a_search_goes_on_from_its_ledger(spark, episodes, tmp_path):
+    """In a run that is repeated because its model was never saved, only what is not in the ledger is fitted."""
+    tuned = learn.random_forest_tuned(4, 3, {"numTrees": [2, 4], "maxDepth": [2, 3], "maxBins": [16, 32]})
+    first = learn.train_models(episodes, [tuned], CUTOFF, model_dir=str(tmp_path))
+    again = learn.train_models(episodes, [tuned], CUTOFF, model_dir=str(tmp_path))
+    other = learn.train_models(episodes, [tuned], CUTOFF, purge=True, model_dir=str(tmp_path))
+    assert [r.searches["random_forest_tuned"].fitted for r in (first, again, other)] == [6, 0, 6]
+    points = [r.searches["random_forest_tuned"].points for r in (first, again)]
+    assert points[0] == points[1] and len(points[0]) == 8
+    assert first.search_points().where("chosen").count() == 1
+    best = first.searches["random_forest_tuned"].best().settings
+    assert first.best.stages[-1].getNumTrees == best["numTrees"] and first.best.stages[-1].getMaxDepth() == best["maxDepth"]
+
+
 @pytest.fixture(scope="module")
 def run(episodes, tmp_path_factory):
     base = str(tmp_path_factory.mktemp("models"))
