@@ -8,33 +8,51 @@ import logging
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from snapflow.operators.report import metric_summary
+from snapflow.operators.report import engagement_percent, histogram, kpi_row, latest_feed, metric_summary, timeline
 from snapflow.operators.split import DEFAULT_CUTOFF
 from snapflow.plans import (
     aggregate_metrics, candidates, clean_snapshots, extract_regions, promote_best, score_table, train_models,
 )
+from snapflow.plans.episode_store import EpisodeStore
 from snapflow.plans.learn import DEFAULT_DEPTH, DEFAULT_TREES, MODES
+from snapflow.plans.training_frame import frame_of_episodes, intake_snapshots
 from snapflow.sources import (
     csv_to_parquet, load_model, read_episode_table, read_snapshot_csv, read_topic, save_model,
     write_metrics, write_parquet, write_topic,
 )
 from snapflow.sources.kafka import as_messages
-from snapflow.sources.pages import flatten_pages
-from snapflow.streaming import read_live_table, resolve_checkpoint_dir, score_stream
+from snapflow.sources.pages import cap_results, flatten_pages
+from snapflow.sources.registry import ModelRegistry
+from snapflow.streaming import drop_repeats, read_live_table, resolve_checkpoint_dir, score_stream
 from snapflow.streaming.checkpoint import POLICIES
+from snapflow.streaming.live import compact_live_table, live_aggregates, live_histogram
 
 logger = logging.getLogger("snapflow")
 
 
+def _raw(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    if args.format == "parquet":
+        return spark.read.parquet(args.raw)
+    return read_snapshot_csv(spark, args.raw, multi_line=not args.single_line)
+
+
 def clean(spark: SparkSession, args: argparse.Namespace) -> None:
     """Raw snapshots (CSV or parquet) -> episode table."""
-    if args.format == "parquet":
-        raw = spark.read.parquet(args.raw)
-    else:
-        raw = read_snapshot_csv(spark, args.raw, multi_line=not args.single_line)
-    logger.info("Wrote %s episodes to %s", clean_snapshots(raw, args.out, args.max_gap_days, args.co_locate), args.out)
+    if args.late_texts and args.format != "parquet":
+        raise SystemExit("--late-texts needs --format parquet")
+    rows = clean_snapshots(_raw(spark, args), args.out, args.max_gap_days, args.co_locate, args.late_texts)
+    logger.info("Wrote %s episodes to %s", rows, args.out)
+
+
+def intake(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Raw snapshots of new days -> store of episodes, which is brought up to date; with --out its episode table is written."""
+    store = EpisodeStore(spark, args.store, args.max_gap_days)
+    if args.raw:
+        logger.info("Commit %s, days up to %s", intake_snapshots(_raw(spark, args), store), store.last_day())
+    if args.out:
+        write_parquet(frame_of_episodes(store.episodes()), args.out)
 
 
 def convert(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -76,6 +94,11 @@ def predict(spark: SparkSession, args: argparse.Namespace) -> None:
         scored.show(truncate=False)
 
 
+def publish(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Trained model -> next version of a registry; streams that score from it take it with their next batch."""
+    logger.info("Version %s of %s", ModelRegistry(spark, args.registry).publish(load_model(args.model_path)), args.registry)
+
+
 def stream(spark: SparkSession, args: argparse.Namespace) -> None:
     """Topic of messages -> topic of predictions."""
     bound = {"maxOffsetsPerTrigger": str(args.max_offsets_per_trigger)} if args.max_offsets_per_trigger else {}
@@ -90,14 +113,39 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def pages(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Landed pages of a listing API (parquet) -> one message per item and fetch, as files of JSON."""
-    rows = flatten_pages(spark.read.parquet(args.source), fetch_keys=args.fetch_keys, page_order=args.page_order)
+    """Landed pages of a listing API (parquet) -> one message per item and fetch, as files of JSON; with --once one per item."""
+    rows = flatten_pages(
+        spark.read.parquet(args.source), fetch_keys=args.fetch_keys, page_order=args.page_order, region=args.region, category_id=args.category
+    )
+    if args.limit is not None:
+        rows = cap_results(rows, args.limit, [*args.page_order, "place"])
+    if args.once:
+        rows = drop_repeats(rows)
     as_messages(rows.drop("place", *args.page_order), "video_id").select("value").write.mode("overwrite").text(args.target)
 
 
+REPORTS = {
+    "summary": lambda rows, args: metric_summary(rows),
+    "kpi": lambda rows, args: kpi_row(rows),
+    "histogram": lambda rows, args: histogram(rows),
+    "engagement": lambda rows, args: engagement_percent(rows),
+    "timeline": lambda rows, args: timeline(rows),
+    "feed": lambda rows, args: latest_feed(rows, args.newest, "timestamp", ["video_id"]),
+}
+KEPT_REPORTS = {"live-summary": live_aggregates, "live-histogram": live_histogram}
+
+
 def report(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Live table -> count, mean, bounds and spread of its metrics."""
-    write_metrics(metric_summary(read_live_table(spark, args.live)), args.out)
+    """Live table -> one of the reports; the live ones are read from the aggregates that its stream keeps."""
+    if args.kind in KEPT_REPORTS:
+        write_metrics(KEPT_REPORTS[args.kind](spark, args.live), args.out)
+    else:
+        write_metrics(REPORTS[args.kind](read_live_table(spark, args.live), args), args.out)
+
+
+def compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Batches of a live table -> few large files."""
+    logger.info("Compacted %s batches of %s", compact_live_table(spark, args.live), args.live)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -116,6 +164,15 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--max-gap-days", type=int, default=1)
     p.add_argument("--single-line", action="store_true", help="no cell holds a line break, so files can be split")
     p.add_argument("--co-locate", action="store_true", help="one exchange, for items with few snapshots per day")
+    p.add_argument("--late-texts", action="store_true", help="read long texts only of the rows that stay; needs parquet")
+
+    p = job(intake)
+    p.add_argument("--store", required=True)
+    p.add_argument("--raw", help="snapshots of days after those in the store")
+    p.add_argument("--out", help="write the episode table here")
+    p.add_argument("--format", choices=["csv", "parquet"], default="csv")
+    p.add_argument("--max-gap-days", type=int, default=1)
+    p.add_argument("--single-line", action="store_true", help="no cell holds a line break, so files can be split")
 
     p = job(convert)
     p.add_argument("source")
@@ -151,6 +208,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--data", required=True)
     p.add_argument("--out", help="write parquet here instead of showing rows")
 
+    p = job(publish)
+    p.add_argument("--model-path", required=True)
+    p.add_argument("--registry", required=True)
+
     p = job(stream)
     p.add_argument("--model-path", required=True)
     p.add_argument("--checkpoint-dir", required=True)
@@ -169,10 +230,19 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("target")
     p.add_argument("--fetch-keys", nargs="+", required=True, help="columns that tell fetches apart")
     p.add_argument("--page-order", nargs="+", default=["page_no"])
+    p.add_argument("--region", help="only pages of this region")
+    p.add_argument("--category", help="only items of this category")
+    p.add_argument("--limit", type=int, help="only so many items, in listing order")
+    p.add_argument("--once", action="store_true", help="one message per item, whatever the fetch")
 
     p = job(report)
     p.add_argument("--live", required=True)
     p.add_argument("--out", required=True)
+    p.add_argument("--kind", choices=[*REPORTS, *KEPT_REPORTS], default="summary")
+    p.add_argument("--newest", type=int, default=10, help="length of the feed")
+
+    p = job(compact)
+    p.add_argument("--live", required=True)
     return top
 
 
