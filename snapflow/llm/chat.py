@@ -25,19 +25,35 @@ QUOTE = re.compile(r"[ \t]{0,3}((?:>[ \t]?)+)(.*)", re.DOTALL)
 SENTENCE_END = re.compile(r"""[.!?\u2026\u3002\uff01\uff1f]["'\u201c\u201d\u2019\u00bb\u300d\u300f)\]}*_]*$""")
 WIDE_END = re.compile("([\u3002\uff01\uff1f][\u201d\u2019\u300d\u300f\uff09]*)")
 RUN_ROWS = 50_000
-ATTRIBUTION = re.compile(r"\s*(?:On|Am|Le|El)\b.*(?:wrote|schrieb|écrit|escribió)\s*:\s*")
+ATTRIBUTION_LINES = 3  # a longer paragraph is the author's own, whatever it ends in
+
+
+def without_attribution(lines: list[str]) -> list[str]:
+    """The author's own lines before a quote, without the one that says whose words follow.
+
+    In any language that is a short paragraph of its own that ends in a colon, with nothing but blank lines between it and
+    the quote; mail programs wrap it.
+    """
+    end = len(lines)
+    while end and not lines[end - 1].strip():
+        end -= 1
+    begin = end
+    while begin and lines[begin - 1].strip():
+        begin -= 1
+    if begin < end <= begin + ATTRIBUTION_LINES and lines[end - 1].rstrip().endswith((":", "\uff1a")):
+        return lines[:begin]
+    return lines
 
 
 def split_quotes(text: str) -> list[tuple[int, list[str]]]:
-    """Runs of lines of one quote level (0: the author's own).  A line like "On Monday X wrote:" before a quote is dropped."""
+    """Runs of lines of one quote level (0: the author's own).  A paragraph like "On Monday X wrote:" before a quote is dropped."""
     runs: list[tuple[int, list[str]]] = []
     for line in text.split("\n"):
         found = QUOTE.fullmatch(line)
         level, content = (found[1].count(">"), found[2]) if found else (0, line)
-        if level and runs and runs[-1][0] == 0 and ATTRIBUTION.fullmatch(runs[-1][1][-1]):
-            runs[-1][1].pop()
-            if not runs[-1][1]:
-                runs.pop()
+        if level and runs and runs[-1][0] == 0:
+            kept = without_attribution(runs[-1][1])
+            runs[-1:] = [(0, kept)] if kept else []
         if runs and runs[-1][0] == level:
             runs[-1][1].append(content)
         else:

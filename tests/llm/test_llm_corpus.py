@@ -274,6 +274,43 @@ def test_quoted_runs_match_plain_version(spark, monkeypatch):
     assert parents(spark, texts) == expected
 
 
+def test_attributions_are_known_by_their_place():
+    """In any language, wrapped, with blank lines before the quote; other paragraphs stay."""
+    own = lambda text: ["\n".join(lines) for level, lines in chat.split_quotes(text) if not level]
+    assert own("On Monday X wrote:\n\n> a") == own("W poniedziałek X napisał(a):\n> a") == own("2024年1月1日 X：\n> a") == []
+    assert own("Hi\n\nOn Mon, Jan 1, 2024 at 10:00 AM Some Long Name\n<x@example.com> wrote:\n\n> a\nme") == ["Hi\n", "me"]
+    assert own("one\ntwo\nthree\nfour:\n> a") == ["one\ntwo\nthree\nfour:"]
+    assert own("I say this.\n> a") == ["I say this."] and own("Note:\nmine") == ["Note:\nmine"]
+
+
+def test_links_of_a_table_with_planted_quotes(spark):
+    """The given table holds no quote: into every tenth message one of an earlier message is planted, and all columns compared."""
+    given = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet").orderBy("conv_id", "turn").collect()
+    assert not any(line.lstrip().startswith(">") for r in given for line in (r.text or "").split("\n"))
+    pick, rows, want, seen, count = random.Random(2), [], {}, {}, {}
+    for r in given:
+        for block in {" ".join(b.lower().split()) for b in (r.text or "").split("\n\n")}:
+            count[r.conv_id, block] = count.get((r.conv_id, block), 0) + 1
+    for i, r in enumerate(given):
+        text, parent = r.text or "", None
+        earlier = [e for e in seen.get(r.conv_id, []) if "\n" not in e.text and count[r.conv_id, " ".join(e.text.lower().split())] == 1]
+        if i % 10 == 0 and earlier:
+            source = pick.choice(earlier)
+            text, parent = f"X wrote:\n\n> {source.text}\n{text}", source.turn
+        rows.append((r.conv_id, r.turn, r.role, text, ""))
+        seen.setdefault(r.conv_id, []).append(r)
+        up = want.get((r.conv_id, parent))
+        root, depth = (up[1], up[2] + 1) if up else (r.turn, 0)
+        own = (r.text or "").strip("\n") if parent is not None else text
+        want[r.conv_id, r.turn] = (parent, root, depth, r.role, own, f"<|{r.role}|>\n{own}\n<|end|>\n")
+    assert sum(w[0] is not None for w in want.values()) > 5
+    found = chat.format_conversations(spark.createDataFrame(rows, CHAT)).collect()
+    got = {(r.conv_id, r.turn): (r.parent_turn, r.root_turn, r.depth, r.role, r.text, r.formatted) for r in found}
+    assert got == want
+    place = [(r.conv_id, r.root_turn, r.turn) for r in found]
+    assert place == sorted(place)
+
+
 def test_long_reply_chain(spark):
     rows = [(1, i, "user", (f"> text {i - 1}\n" if i else "") + f"text {i}", "") for i in range(30)]
     found = chat.format_conversations(spark.createDataFrame(rows, CHAT)).collect()
