@@ -243,3 +243,105 @@ def whitened(rows, factor=256, components=4):
         y = np.array([float(fractions.Fraction(n * c - s, n)) for c, s in zip(x, sums)])
         out.append((i, sum((n * c - s) ** 2 for c, s in zip(x, sums)), y @ vectors / np.sqrt(values)))
     return n, out, values / (centred**2).sum() * n
+
+
+def sentence_starts(text):
+    """0 and where each further sentence begins: after marks or a line's end, and the white space that follows."""
+    starts, i = [0], 0
+    while i < len(text):
+        while i < len(text) and text[i] not in ".!?\n":
+            i += 1
+        if i < len(text) and text[i] == "\n":
+            i += 1
+        else:
+            while i < len(text) and text[i] in ".!?":
+                i += 1
+        while i < len(text) and text[i].isspace():
+            i += 1
+        if i < len(text):
+            starts.append(i)
+    return starts
+
+
+def token_sections(fields, encoder):
+    """field number, section, start, stop, tokens, crossing tokens of the fields of one row."""
+    texts = [t or "" for t in fields]
+    whole = "\n".join(texts)
+    sections, at = [], 0
+    for k, text in enumerate(texts):
+        inner = sentence_starts(text)
+        sections += [[k, i, at + x, None, 0, 0] for i, x in enumerate(inner)]
+        at += len(text) + (k + 1 < len(texts))
+    for a, b in zip(sections, [*sections[1:], [0, 0, at]]):
+        a[3] = b[2]
+    place = [i for i, c in enumerate(whole) for _ in c.encode()]  # of every byte, its character
+    byte = 0
+    for token in encoder.encode_ordinary(whole):
+        size = len(encoder.decode_single_token_bytes(token))
+        first, last = place[byte], place[byte + size - 1]
+        shares = [sum(s[2] <= c < s[3] for c in range(first, last + 1)) for s in sections]
+        best = sections[shares.index(max(shares))]
+        best[4] += 1
+        best[5] += sum(x > 0 for x in shares) > 1
+        byte += size
+    return [tuple(s) for s in sections]
+
+
+def gam_scores(x, y, rounds, rate, n_pairs, bins=32, coarse=8, leaves=4):
+    """Scores of the rows that the model is fitted on, by loops over rows and bins."""
+    n, width = len(x), len(x[0])
+    edges = [sorted(set(np.quantile([r[j] for r in x], np.arange(1, bins) / bins).tolist())) for j in range(width)]
+    cell = [[sum(e < r[j] for e in edges[j]) for j in range(width)] for r in x]
+    rough = [[c[j] * min(len(edges[j]) + 1, coarse) // (len(edges[j]) + 1) for j in range(width)] for c in cell]
+    good = (sum(y) + 0.5) / (n + 1)
+    total = [math.log(good / (1 - good))] * n
+    least = 0.002 * n * good * (1 - good)
+
+    def gradient(i):
+        p = 1 / (1 + math.exp(-total[i]))
+        return y[i] - p, p * (1 - p)
+
+    def sums(places, size):
+        g, h = [0.0] * size, [0.0] * size
+        for i, c in enumerate(places):
+            a, b = gradient(i)
+            g[c], h[c] = g[c] + a, h[c] + b
+        return g, h
+
+    def steps(g, h, most):
+        spans = [(0, len(g))]
+        worth = lambda a, b: sum(g[a:b]) ** 2 / (sum(h[a:b]) + 1)
+        while len(spans) < most:
+            cuts = [
+                (worth(a, m) + worth(m, b) - worth(a, b), k, m) for k, (a, b) in enumerate(spans) for m in range(a + 1, b)
+                if min(sum(h[a:m]), sum(h[m:b])) >= least
+            ]
+            gain, k, m = max(cuts, default=(0, 0, 0))
+            if gain <= 1e-9:
+                break
+            spans[k : k + 1] = [(spans[k][0], m), (m, spans[k][1])]
+        return [next(sum(g[a:b]) / (sum(h[a:b]) + 1) for a, b in spans if a <= c < b) for c in range(len(g))]
+
+    for _ in range(rounds):
+        for j in range(width):
+            step = steps(*sums([c[j] for c in cell], bins), leaves)
+            total = [t + rate * step[c[j]] for t, c in zip(total, cell)]
+    both = {(i, j): [r[i] * coarse + r[j] for r in rough] for i in range(width) for j in range(i + 1, width)}
+
+    def gain(pair):
+        g, h = sums(both[pair], coarse**2)
+        return sum(a * a / (b + 1) for a, b in zip(g, h))
+
+    pairs = sorted(both, key=lambda p: -gain(p))[:n_pairs]
+    for _ in range(rounds // 4):
+        for pair in pairs:
+            g, h = sums(both[pair], coarse**2)
+            rows = [(g[k * coarse : (k + 1) * coarse], h[k * coarse : (k + 1) * coarse]) for k in range(coarse)]
+            side = steps([sum(a) for a, _ in rows], [sum(b) for _, b in rows], 2)
+            step = {}
+            for value in set(side):
+                chosen = [rows[k] for k in range(coarse) if side[k] == value]
+                inner = steps([sum(c) for c in zip(*[a for a, _ in chosen])], [sum(c) for c in zip(*[b for _, b in chosen])], 2)
+                step[value] = inner
+            total = [t + rate * step[side[c // coarse]][c % coarse] for t, c in zip(total, both[pair])]
+    return [1 / (1 + math.exp(-t)) for t in total]

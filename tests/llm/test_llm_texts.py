@@ -94,6 +94,32 @@ def test_token_counts_match_plain_version(odd):
     assert token_counts.count_tokens(odd.limit(0), VOCABULARY, public_tokenizers.PATTERN).count() == 0
 
 
+def test_op1_matches_plain_version(spark, sf_dir, odd):
+    """All three fields of the query, sections found apart from the operator, empty and null texts too."""
+    from snapflow.llm.queries import QUERIES
+
+    encoder, names = brute.tokenizer(), ("source", "lang", "text")
+
+    def check(found, rows):
+        want = {(r.doc_id, names[k], i, a, b, n, c) for r in rows for k, i, a, b, n, c in brute.token_sections([r[f] for f in names], encoder)}
+        assert {tuple(r) for r in found.select("doc_id", "field", "section", "start", "stop", "n_tokens", "n_crossing").collect()} == want
+
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [r for r in table.collect() if len(r.text or "") < 1500]
+    check(QUERIES["op1_token_counts"](spark, sf_dir).join(spark.createDataFrame([(r.doc_id,) for r in rows], "doc_id bigint"), "doc_id"), rows)
+    short = odd.where("doc_id <> 3 AND length(coalesce(text, '')) < 500")
+    check(token_counts.count_tokens(short, VOCABULARY, public_tokenizers.PATTERN, fields=names), short.collect())
+
+
+def test_gam_matches_plain_version():
+    rng = np.random.default_rng(7)
+    x = np.column_stack([rng.normal(size=90), rng.integers(0, 3, 90), rng.exponential(size=90), rng.integers(0, 2, 90)]).round(3)
+    y = ((x[:, 0] > 0) ^ (x[:, 3] > 0.5)).astype(float)
+    y[::11] = 1 - y[::11]
+    found = quality_gam.fit(x, y, rounds=8, rate=0.3, n_pairs=2).score(x)
+    assert np.abs(found - brute.gam_scores(x.tolist(), y.tolist(), 8, 0.3, 2)).max() < 1e-9
+
+
 def test_crossing_token_goes_to_the_larger_share():
     section, crossing = token_counts.attribute(np.array([0, 3, 5]), np.array([3, 5, 9]), np.array([0, 4, 8]))
     assert section.tolist() == [0, 0, 1] and crossing.tolist() == [False, True, True]
