@@ -148,6 +148,7 @@ def compact(spark: SparkSession, args: argparse.Namespace) -> None:
     logger.info("Compacted %s batches of %s", compact_live_table(spark, args.live), args.live)
 
 
+# --- fixed values: names of options and the paths and topics they default to ---
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="snapflow", description=__doc__)
     jobs = top.add_subparsers(dest="job", required=True)

@@ -28,6 +28,7 @@ OPTIONAL_DEFAULTS: dict[str, str] = {
     "tags": "",
 }
 
+# --- fixed values from here on: names of keys, date, label and target ---
 REQUIRED_COLUMNS: tuple[str, ...] = tuple(name for name in ALIASES if name not in OPTIONAL_DEFAULTS)
 COUNT_COLUMNS: tuple[str, ...] = ("view_count", "likes", "comment_count")
 
