@@ -95,6 +95,14 @@ def op4_chat_format(spark, sf_dir):
     return chat.format_conversations(table(spark, sf_dir, "conversations"))
 
 
+# For messages without quote lines, as in the given tables; links are held against planted quotes in tests/llm.
+ORACLES["op4_chat_format"] = """
+SELECT conv_id, turn, role, text, CAST(NULL AS BIGINT) AS parent_turn, turn AS root_turn, CAST(0 AS BIGINT) AS depth,
+  '<|' || coalesce(role, 'unknown') || '|>' || chr(10) || coalesce(text, '') || chr(10) || '<|end|>' || chr(10) AS formatted
+FROM conversations
+"""
+
+
 @query
 def op5_substring_dedup(spark, sf_dir):
     cleaned = substring_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
