@@ -43,7 +43,7 @@ RAW_SNAPSHOT = (
     " ELSE date_format(ts - make_dt_interval(0, CAST((event_id * 7) % 200 AS INT)), \"yyyy-MM-dd'T'HH:mm:ss'Z'\")"
     " END AS video_published_at",
     "CASE WHEN event_id % 613 = 1 THEN 'NaN' WHEN event_id % 617 = 1 THEN 'Infinity' WHEN event_id % 619 = 1 THEN '5d'"
-    " WHEN event_id % 631 = 1 THEN '1e3' ELSE format_number(CAST(round(value * 100) AS BIGINT) * 10, 0) END AS video_view_count",
+    " WHEN event_id % 631 = 1 THEN '5e7' ELSE format_number(CAST(round(value * 100) AS BIGINT) * 10, 0) END AS video_view_count",
     "CAST(CAST(round(value * 100) AS BIGINT) * (event_id % 120) DIV 10 AS STRING) AS video_like_count",
     "CAST(CASE WHEN event_id % 211 = 0 THEN -1 ELSE CAST(round(value * 100) AS BIGINT) % 97 END AS STRING)"
     " AS video_comment_count",

@@ -60,7 +60,7 @@ snap AS (
       ELSE date_trunc(CASE WHEN event_id % 311 = 1 THEN 'millisecond' ELSE 'second' END,
         CAST(ts AS TIMESTAMP) - to_hours(CAST((event_id * 7) % 200 AS INT))) END AS published,
     CASE WHEN event_id % 613 = 1 THEN 'NaN' WHEN event_id % 617 = 1 THEN 'Infinity' WHEN event_id % 619 = 1 THEN '5d'
-      WHEN event_id % 631 = 1 THEN '1e3' ELSE format('{:,}', CAST(round(value * 100) AS BIGINT) * 10) END AS view_text,
+      WHEN event_id % 631 = 1 THEN '5e7' ELSE format('{:,}', CAST(round(value * 100) AS BIGINT) * 10) END AS view_text,
     CAST((CAST(round(value * 100) AS BIGINT) * (event_id % 120)) // 10 AS VARCHAR) AS like_text,
     CAST(CASE WHEN event_id % 211 = 0 THEN -1 ELSE CAST(round(value * 100) AS BIGINT) % 97 END AS VARCHAR)
       AS comment_text,
