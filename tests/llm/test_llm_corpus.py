@@ -45,6 +45,19 @@ def small_groups(monkeypatch):
     monkeypatch.setattr(shared_names, "BUCKET_NAMES", 300)
 
 
+def test_one_text_larger_than_a_group(spark, small_groups):
+    """A text of many groups' size beside copies and a near copy of it, and a passage of it in a short text."""
+    pick = random.Random(9)
+    long = [f"w{pick.randrange(3000)}" for _ in range(6000)]
+    near = long[:3000] + ["other"] + long[3001:]
+    rows = [(1, " ".join(long)), (2, " ".join(near)), (3, " ".join(long)), (4, " ".join(["own"] * 3 + long[50:90])), (5, " ".join(reversed(long)))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = substring_dedup.remove_repeats(docs).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in found} == brute.substring_dedup(rows)
+    found = jaccard_join.similar_components(docs).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute.jaccard_components(rows)
+
+
 def test_pack_round_trip():
     rng = np.random.default_rng(1)
     for n in (1, 2, 1000):

@@ -111,6 +111,20 @@ def test_op1_matches_plain_version(spark, sf_dir, odd):
     check(token_counts.count_tokens(short, VOCABULARY, public_tokenizers.PATTERN, fields=names), short.collect())
 
 
+def test_gam_of_repeated_ids_scores_each_text(spark):
+    """Rows of one id are scored by their own texts; the label of the id counts for all of them; no labels give a constant."""
+    good, bad = "the cat sat on the mat and slept " * 3, "$$$ !!! ### 999 !!! " * 4
+    rows = [(i, good if i % 2 else bad) for i in range(300)] + [(7, good), (7, bad), (7, None), (None, good), (None, bad)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(300) if i != 7], "doc_id bigint, quality int, toxic int")
+    scored = quality_gam.score(docs, labels).collect()
+    assert len(scored) == len(rows)
+    seven = sorted(r.score for r in scored if r.doc_id == 7)
+    assert len(seven) == 4 and seven[0] < 0.2 and seven[-1] > 0.8
+    assert all(r.held_out for r in scored if r.doc_id is None) and all(0 <= r.score <= 1 for r in scored)
+    assert len({r.score for r in quality_gam.score(docs, labels.limit(0)).collect()}) == 1
+
+
 def test_gam_matches_plain_version():
     rng = np.random.default_rng(7)
     x = np.column_stack([rng.normal(size=90), rng.integers(0, 3, 90), rng.exponential(size=90), rng.integers(0, 2, 90)]).round(3)
@@ -254,3 +268,10 @@ def test_rates_with_very_many_copies(spark):
     assert abs(sums["a"][-1] - 1) < 1e-6 and abs(sums["a"][100_000] - 0.5) < 0.01 and len(sums[None]) < 60
     assert all(x <= y for x, y in zip(sums["a"], sums["a"][1:]))
     assert abs(sums[None][0] - math.exp(-0.3)) < 1e-15
+
+
+def test_command(spark, sf_dir, tmp_path):
+    from snapflow.llm.__main__ import main
+
+    main(["op3_url_filter", sf_dir, str(tmp_path / "out")])
+    assert spark.read.parquet(str(tmp_path / "out")).count() == spark.read.parquet(f"{sf_dir}/pages.parquet").count()
