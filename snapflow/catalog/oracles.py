@@ -326,8 +326,8 @@ WHERE country IN (SELECT country FROM people WHERE c_acctbal > 9900)""",
   string_agg(DISTINCT country, ',' ORDER BY country) FILTER (country IN ({_KEPT})) AS kept_countries FROM people""",
     "api_flatten": f"{API} SELECT {API_COLUMNS} FROM items",
     "api_category": f"{API} SELECT {API_COLUMNS} FROM items WHERE categoryId = '3' AND country = 'VN'",
-    "api_capped": f"""{API}, capped AS (SELECT * FROM items ORDER BY conv_id, turn, place LIMIT 40)
-SELECT {API_COLUMNS} FROM capped""",
+    "api_capped": f"""{API}
+SELECT {API_COLUMNS}, row_number() OVER (ORDER BY conv_id, turn, place) <= 500 AS within_limit FROM items""",
     "events_props_json": """SELECT event_id, CAST(regexp_extract(props, '"k": (-?[0-9]+)', 1) AS INT) AS k FROM events""",
     "to_json_roundtrip": "SELECT event_id, user_id, event_type, value, props FROM events",
     "message_checks": """SELECT count(*) AS messages,

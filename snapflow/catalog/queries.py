@@ -390,8 +390,11 @@ def api_category(spark, sf_dir):
 
 @query
 def api_capped(spark, sf_dir):
+    """Every listed item, and whether a limit of 500 results keeps it."""
     rows = flatten_pages(inputs.api_pages(spark, sf_dir), fetch_keys=["region_code"], page_order=["conv_id", "turn"])
-    return cap_results(rows, 40, ["conv_id", "turn", "place"]).select(*API_COLUMNS)
+    order = ["conv_id", "turn", "place"]
+    last = cap_results(rows, 500, order).agg(F.max(F.struct(*order))).scalar()
+    return rows.select(*API_COLUMNS, (F.struct(*order) <= last).alias("within_limit"))
 
 
 # ---------------------------------------------------------------- JSON

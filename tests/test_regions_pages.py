@@ -96,6 +96,22 @@ def test_cap(spark, asked, given):
     assert cap_results(rows, asked).count() == given
 
 
+def test_capped_query_returns_every_item(spark, tmp_path):
+    from snapflow.catalog import QUERIES
+
+    turns = spark.range(900).selectExpr("id div 4 AS conv_id", "CAST(id % 4 AS INT) AS turn", "'user' AS role", "concat('text ', id) AS text")
+    turns.write.parquet(f"{tmp_path}/conversations.parquet")
+    listed = QUERIES["api_flatten"](spark, str(tmp_path))
+    capped = QUERIES["api_capped"](spark, str(tmp_path))
+    assert capped.count() == listed.count() > 500
+    assert capped.drop("within_limit").exceptAll(listed).count() == 0
+    kept = {r["description"] for r in capped.where("within_limit").collect()}
+    beyond = {r["description"] for r in capped.where("NOT within_limit").collect()}
+    assert capped.where("within_limit").count() == 500
+    place = lambda text: int(text.split()[1])
+    assert max(map(place, kept)) <= min(map(place, beyond))
+
+
 TRICKY = [("1", 'say "hi"'), ("2", "two\nlines"), ("3", " spaced "), ("4", "a,b\\"), ("5", None), ("7", "a\r\nb\rc")]
 
 
