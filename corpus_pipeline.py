@@ -51,11 +51,9 @@ def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, ids (packed), token_ends and n_tokens of every copy, and the digest of the bytes that the ids decode to.
 
-    The codes are written before they are decoded: the same Python workers then do both, one after the other, with one
-    vocabulary each.
+    A Python worker does both with one vocabulary, and the codes are not stored in between.
     """
-    coded = written(bpe.encode(docs.select("doc_id", "source", "text"), VOCABULARY), "coded")
-    decoded = bpe.decode(coded, VOCABULARY)
+    decoded = bpe.encode_decode(docs.select("doc_id", "source", "text"), VOCABULARY)
     return decoded.select("doc_id", "source", "n_tokens", "ids", "token_ends", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

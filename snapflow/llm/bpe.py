@@ -299,6 +299,38 @@ def vocabulary(path: str) -> Vocabulary:
     return _vocabularies[path]
 
 
+def _to_encode(df: DataFrame, text_col: str, prefix: str) -> tuple[DataFrame, list[str], list[str]]:
+    """What goes into the encoder, its text last, and the fields and names of what comes out."""
+    new = {f"{prefix}ids": "binary", f"{prefix}token_ends": "binary", f"{prefix}n_tokens": "bigint"}
+    kept = [c for c in df.columns if c not in new]
+    source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").cast("string").alias("__text"))
+
+    fields = [f"`{c}` {source.schema[c].dataType.simpleString()}" for c in kept] + [f"`{c}` {k}" for c, k in new.items()]
+    return source, fields, [*kept, *new]
+
+
+def _encoded(batches: Iterator[pa.RecordBatch], path: str, names: list[str]) -> Iterator[pa.RecordBatch]:
+    words = vocabulary(path)
+    for part in slices(batches, "__text", ENCODE_BYTES):
+        texts = [t or "" for t in part.column("__text").to_pylist()]
+        ids = words.encode(texts)
+        ends = [np.cumsum(words.lengths[np.frombuffer(x, "<u4")]).astype("<u4").tobytes() for x in ids]
+        yield pa.RecordBatch.from_arrays(
+            [
+                *part.columns[:-1], pa.array(ids, pa.binary()), pa.array(ends, pa.binary()),
+                pa.array([len(x) // 4 for x in ids], pa.int64()),
+            ],
+            names,
+        )
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], path: str, kept: list[str], ids_col: str, out_col: str) -> Iterator[pa.RecordBatch]:
+    words, at = vocabulary(path), kept.index(ids_col)
+    for part in slices(batches, ids_col, ENCODE_BYTES):
+        raw = [words.decode(x or b"") for x in part.column(at).to_pylist()]
+        yield pa.RecordBatch.from_arrays([*part.columns, pa.array(raw, pa.binary())], [*kept, out_col])
+
+
 def encode(df: DataFrame, vocabulary_path: str, text_col: str = "text", prefix: str = "") -> DataFrame:
     """Add ``ids`` (binary: little-endian unsigned 32-bit integers), ``token_ends`` (binary, the same form: the byte
     offset in the text at which each token ends) and ``n_tokens``, named with the prefix.
@@ -306,39 +338,24 @@ def encode(df: DataFrame, vocabulary_path: str, text_col: str = "text", prefix:
     A null or empty text has no tokens.  All other columns stay; a column of one of the new names is replaced.
     The file at vocabulary_path must be there on every executor.
     """
-    new = {f"{prefix}ids": "binary", f"{prefix}token_ends": "binary", f"{prefix}n_tokens": "bigint"}
-    kept = [c for c in df.columns if c not in new]
-    source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").cast("string").alias("__text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = vocabulary(vocabulary_path)
-        for part in slices(batches, "__text", ENCODE_BYTES):
-            texts = [t or "" for t in part.column("__text").to_pylist()]
-            ids = words.encode(texts)
-            ends = [np.cumsum(words.lengths[np.frombuffer(x, "<u4")]).astype("<u4").tobytes() for x in ids]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *part.columns[:-1], pa.array(ids, pa.binary()), pa.array(ends, pa.binary()),
-                    pa.array([len(x) // 4 for x in ids], pa.int64()),
-                ],
-                [*kept, *new],
-            )
-
-    fields = [f"`{c}` {source.schema[c].dataType.simpleString()}" for c in kept] + [f"`{c}` {k}" for c, k in new.items()]
-    return source.mapInArrow(run, ", ".join(fields))
+    source, fields, names = _to_encode(df, text_col, prefix)
+    return source.mapInArrow(lambda batches: _encoded(batches, vocabulary_path, names), ", ".join(fields))
 
 
 def decode(df: DataFrame, vocabulary_path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """Add the bytes (binary) that the ids stand for; null or empty ids give no bytes."""
     kept = [c for c in df.columns if c != out_col]
     source = df.select(*[F.col(f"`{c}`") for c in kept])
-    at = kept.index(ids_col)
+    fields = [f"`{c}` {source.schema[c].dataType.simpleString()}" for c in kept] + [f"`{out_col}` binary"]
+    return source.mapInArrow(lambda batches: _decoded(batches, vocabulary_path, kept, ids_col, out_col), ", ".join(fields))
+
+
+def encode_decode(df: DataFrame, vocabulary_path: str, text_col: str = "text", out_col: str = "decoded") -> DataFrame:
+    """:func:`encode`, then :func:`decode` of its ids, a slice at a time in one Python worker: the vocabulary is held once
+    and nothing is stored between the two."""
+    source, fields, names = _to_encode(df.drop(out_col), text_col, "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = vocabulary(vocabulary_path)
-        for part in slices(batches, ids_col, ENCODE_BYTES):
-            raw = [words.decode(x or b"") for x in part.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(raw, pa.binary())], [*kept, out_col])
+        return _decoded(_encoded(batches, vocabulary_path, names), vocabulary_path, names, "ids", out_col)
 
-    fields = [f"`{c}` {source.schema[c].dataType.simpleString()}" for c in kept] + [f"`{out_col}` binary"]
-    return source.mapInArrow(run, ", ".join(fields))
+    return source.mapInArrow(run, ", ".join([*fields, f"`{out_col}` binary"]))

@@ -71,6 +71,26 @@ def test_encode_round_trip_keeps_columns(odd):
     assert bpe.encode(odd.limit(0), VOCABULARY).count() == 0
 
 
+def test_bpe_in_one_worker_is_encoding_then_decoding(odd):
+    apart = bpe.decode(bpe.encode(odd, VOCABULARY), VOCABULARY)
+    at_once = bpe.encode_decode(odd, VOCABULARY)
+    assert at_once.columns == apart.columns and at_once.count() == odd.count()
+    assert at_once.exceptAll(apart).count() == 0 == apart.exceptAll(at_once).count()
+
+
+def test_pipeline_stores_no_codes_and_encodes_in_one_worker(spark, odd):
+    import os
+
+    import corpus_pipeline
+    from snapflow.workspace import shared_dir
+
+    folder = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    rows = corpus_pipeline.encode_texts(spark, odd, "")
+    assert rows.count() == odd.count() and set(os.listdir(folder)) == before
+    assert rows._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
 def test_token_counts_match_plain_version(odd):
     rows = token_counts.count_tokens(odd, VOCABULARY, public_tokenizers.PATTERN, fields=("source", "text")).collect()
     by_doc, plain = {}, brute.tokenizer()
