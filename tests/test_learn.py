@@ -84,6 +84,19 @@ def test_tuned_query_searches_the_whole_grid(spark, sf_dir, monkeypatch):
     assert [learn._settings(c) for c in tried] == [learn._settings(learn.random_forest_tuned())]
 
 
+def test_rows_remember_their_nodes(spark):
+    """Forests of the candidates gather few nodes a pass, so a pass must not walk from the roots; their trees are those of a
+    forest that does."""
+    for candidate in (learn.random_forest(), learn.random_forest_tuned()):
+        assert candidate.estimator.getCacheNodeIds() and candidate.estimator.getMaxMemoryInMB() <= 32
+        assert candidate.estimator.getSeed() == learn.SEED
+    df = spark.range(1500).select(F.rand(1).alias("a"), F.rand(2).alias("b"), F.rand(3).alias("c"))
+    rows = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df.withColumnRenamed("c", learn.TARGET_COLUMN)).cache()
+    forest = learn._forest(6, 5)
+    plain = RandomForestRegressor(**learn._columns(), seed=learn.SEED, numTrees=6, maxDepth=5)
+    assert forest.fit(rows).toDebugString.split("\n")[1:] == plain.fit(rows).toDebugString.split("\n")[1:]
+
+
 def test_smaller_forests_are_parts_of_a_larger_one(spark):
     """Errors of first trees, and of trees cut at a depth, equal those of the trees themselves."""
     df = spark.range(1500).select(F.rand(1).alias("a"), F.rand(2).alias("b"), (F.rand(3) * 3).cast("int").alias("c"))
