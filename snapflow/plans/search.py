@@ -97,7 +97,8 @@ def nested_errors(
     """RMSE of the forests of the first trees of a fitted one, cut at a depth, for all sizes and depths in one pass over the rows.
 
     A forest predicts the mean of its trees, and its trees are drawn alike, so the first k of them are a forest of k trees.
-    How a node is split does not hang on the depth that is allowed, so a tree that is cut is the tree grown to that depth.
+    How a node is split does not hang on the depth that is allowed, so a tree that is cut is the tree grown to that depth, up to
+    the columns that nodes draw: where a fit takes several passes a level, they draw in another order, by the same chances.
     Spark walks the trees once and names the leaf that a row reaches in each; what the leaves predict is looked up in batches.
     """
     values = leaf_values(model, rows.sparkSession, depths)
