@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..workspace import new_run_dir, remove
+from .grow import grown_errors
 
 FOLD = "_fold"
 LEDGER = "search string, settings string, num_trees int, max_depth int, fold int, rmse double"
@@ -170,8 +171,10 @@ def search_forest(
         settings, fold = task
         train, valid = folds(fold)
         largest = settings | dict(zip(NESTED, (sizes[-1], depths[-1])))
-        model = forest.fit(train, {forest.getParam(name): value for name, value in largest.items()})
-        scores = nested_errors(model, valid, sizes, depths, forest.getLabelCol())
+        forest_of_all = forest.copy({forest.getParam(name): value for name, value in largest.items()})
+        scores = grown_errors(forest_of_all, train, valid, sizes, depths)
+        if scores is None:
+            scores = nested_errors(forest_of_all.fit(train), valid, sizes, depths, forest.getLabelCol())
         ledger.write(settings_text(settings), fold, scores)
         return {(settings_text(settings), size, depth, fold): rmse for (size, depth), rmse in scores.items()}
 

@@ -2,12 +2,13 @@ import datetime as dt
 import json
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml import Estimator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
-from snapflow.plans import learn, search
+from snapflow.plans import grow, learn, search
 from snapflow.plans.compare import aggregate_metrics, promote_best
 from snapflow.plans.score import score_table
 from snapflow.schemas import EPISODE_TABLE, MEAN_BASELINE, NUMERIC_FEATURES, SCORED_COLUMNS
@@ -118,6 +119,79 @@ def test_smaller_forests_are_parts_of_a_larger_one(spark):
     assert errors[6, 3] == pytest.approx(rmse(F.col("raw_prediction"), forest(3).transform(rows)), abs=1e-12)
 
 
+@pytest.fixture(scope="module")
+def folded(spark):
+    df = spark.range(2400).select("id", F.rand(1).alias("a"), F.rand(2).alias("b"), (F.rand(3) * 3).cast("int").alias("c"), F.rand(9).alias("w"))
+    df = df.withColumn("y", F.col("a") * F.col("c") + F.rand(5) / 3).withColumn(search.FOLD, (F.col("id") % 2).cast("int"))
+    return VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(df).cache()
+
+
+def searched(rows, grid, **settings):
+    forest = RandomForestRegressor(labelCol="y", predictionCol="raw_prediction", seed=1, **settings)
+    folds = lambda k: (rows.filter(F.col(search.FOLD) != k), rows.filter(F.col(search.FOLD) == k))
+    return search.search_forest(forest, grid, folds, 2, search.Ledger(rows.sparkSession, None, "grown"), 2).points
+
+
+@pytest.mark.parametrize("weighted", [{}, {"weightCol": "w"}])
+def test_grown_trees_are_those_of_spark(folded, monkeypatch, weighted):
+    """Without draws, a search by trees grown in tasks finds the errors of Spark's own fits."""
+    grid = {"numTrees": [1], "maxDepth": [3, 7], "minInstancesPerNode": [5], "maxBins": [16, 32]}
+    settings = {"bootstrap": False, "featureSubsetStrategy": "all", **weighted}
+    grown = searched(folded, grid, **settings)
+    monkeypatch.setattr(grow, "MOST_BYTES", 0)
+    fitted = searched(folded, grid, **settings)
+    assert [p.settings for p in grown] == [p.settings for p in fitted] and len(grown) == 4
+    assert [p.rmse for p in grown] == pytest.approx([p.rmse for p in fitted], abs=1e-9)
+
+
+def test_grown_forests_are_as_good_as_those_of_spark(folded, monkeypatch):
+    grid = {"numTrees": [10, 30], "maxDepth": [4, 8], "minInstancesPerNode": [1, 3]}
+    grown = searched(folded, grid)
+    monkeypatch.setattr(grow, "MOST_BYTES", 0)
+    fitted = searched(folded, grid)
+    assert len(grown) == len(fitted) == 8
+    assert [p.rmse for p in grown] == pytest.approx([p.rmse for p in fitted], rel=0.1)
+
+
+def test_a_search_of_rows_that_fit_a_task_needs_no_fit_over_the_cluster(folded, monkeypatch):
+    """Every point is found, the same however the rows are laid out and the trees are dealt; only rows beyond a task are left to Spark."""
+    monkeypatch.setattr(RandomForestRegressor, "_fit", Broken()._fit)
+    grid = {"numTrees": [3, 5], "maxDepth": [2, 6], "minInstancesPerNode": [1, 2]}
+    first = searched(folded.coalesce(1), grid)
+    monkeypatch.setattr(grow, "ROWS_AND_TREES", 1)  # a task per tree
+    second = searched(folded.repartition(5, "id"), grid)
+    assert [p.settings for p in first] == [p.settings for p in second] and len(first) == 8
+    assert [p.rmse for p in first] == pytest.approx([p.rmse for p in second], abs=1e-12)
+    monkeypatch.setattr(grow, "MOST_BYTES", 2400 * (3 + grow.ROW_BYTES) - 1)
+    with pytest.raises(RuntimeError, match="out of luck"):
+        searched(folded, grid)
+
+
+def test_forests_that_are_not_grown_here(spark, folded):
+    def errors(rows, **settings):
+        return grow.grown_errors(RandomForestRegressor(labelCol="y", seed=-3, numTrees=2, **settings), rows, rows, [2], [3])
+
+    assert errors(folded, featureSubsetStrategy="sqrt") is None and errors(folded, maxBins=300) is None
+    assert errors(folded, minWeightFractionPerNode=0.1) is None
+    assert errors(folded.withColumn("features", F.col("features"))) is not None
+    assert errors(folded, subsamplingRate=0.5)[2, 3] > 0
+    bad = VectorAssembler(inputCols=["a", "b"], outputCol="features", handleInvalid="keep").transform(
+        folded.drop("features").withColumn("b", F.when(F.col("id") != 7, F.col("b")))
+    )
+    with pytest.raises(Exception, match="must be numbers"):
+        errors(bad)
+    with pytest.raises(ValueError, match="training rows"):
+        errors(folded.where("id < 0"))
+
+
+def test_bins_are_those_of_spark():
+    few = grow.thresholds(np.array([1.0, 2.0, 2.0, 5.0]), np.ones(4), 4)
+    assert few.tolist() == [1.5, 3.5]
+    many = grow.thresholds(np.arange(12.0), np.ones(12), 4)
+    assert many.tolist() == [2.5, 5.5, 8.5]
+    assert grow.thresholds(np.array([3.0, 3.0]), np.ones(2), 4).tolist() == []
+
+
 def test_a_search_goes_on_from_its_ledger(spark, episodes, tmp_path):
     """In a run that is repeated because its model was never saved, only what is not in the ledger is fitted."""
     tuned = learn.random_forest_tuned(4, 3, {"numTrees": [2, 4], "maxDepth": [2, 3], "maxBins": [16, 32]})
