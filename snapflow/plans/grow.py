@@ -93,7 +93,7 @@ def tree_grower(growth: Growth) -> Callable[..., list[np.ndarray]]:
 
     def fraction(of: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """of squared / weights, and 0 without weight."""
-        return np.divide(of * of, weights, out=np.zeros_like(weights), where=weights > 0)
+        return np.divide(of * of, weights, out=np.zeros(weights.shape), where=weights > 0)
 
     def grow_tree(
         x: np.ndarray, y: np.ndarray, weight: np.ndarray, drawn: np.ndarray, asked: np.ndarray, depths: Sequence[int], rng: np.random.Generator
@@ -135,6 +135,8 @@ def tree_grower(growth: Growth) -> Callable[..., list[np.ndarray]]:
 
             base = fraction(sums, weights)
             follow(np.flatnonzero((squares - base > NOISE * squares) & (counts >= 2 * least)))
+            if not nodes:
+                continue
             base = fraction(sums, weights)
             if n_tried < slots:
                 tried = rng.random((nodes, slots)).argpartition(n_tried, axis=1)[:, : n_tried]

@@ -184,6 +184,13 @@ def test_forests_that_are_not_grown_here(spark, folded):
         errors(folded.where("id < 0"))
 
 
+def test_a_tree_whose_nodes_are_all_pure():
+    x, y = np.array([[0, 0, 1, 1]], np.uint8), np.array([1.0, 1.0, 2.0, 2.0])
+    tree = grow.tree_grower(grow.Growth(1, 1, 2, 1, 0.0, None, 1))
+    found = tree(x, y, np.ones(4), np.ones(4, np.int64), x, [0, 1, 3], np.random.default_rng(1))
+    assert [f.tolist() for f in found] == [[1.5] * 4, y.tolist(), y.tolist()]
+
+
 def test_bins_are_those_of_spark():
     few = grow.thresholds(np.array([1.0, 2.0, 2.0, 5.0]), np.ones(4), 4)
     assert few.tolist() == [1.5, 3.5]
